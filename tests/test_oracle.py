@@ -1,0 +1,58 @@
+"""Every query with SQL gives the same rows and types in both engines."""
+
+import pytest
+
+import __spark_entry__ as contract
+from compare import connect, duckdb_rows, spark_rows
+from thermopolis.catalog import QUERIES
+from thermopolis.oracle import ORACLES
+
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp": "TIMESTAMP",
+}
+
+ROWS_ONLY = {
+    "predict_linear",
+    "predict_forest",
+    "electricity_predictions",
+    "rmse_report",
+    "city_clusters",
+    "cluster_sizes",
+}
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connect(sf_dir)
+
+
+def test_every_query_is_accounted_for():
+    assert contract.queries().keys() - contract.oracle_sql().keys() == ROWS_ONLY
+    assert contract.oracle_sql().keys() < contract.queries().keys()
+    assert len(contract.queries()) == 37
+
+
+def test_entry_is_the_sorted_ranking(spark):
+    values = [r["avg_kwh_per_person"] for r in contract.entry(spark).collect()]
+    known = [v for v in values if v is not None]
+    assert known and known == sorted(known, reverse=True)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_same_as_sql(spark, con, sf_dir, name):
+    df = QUERIES[name](spark, sf_dir)
+    described = con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()
+    assert {c: TYPES[t] for c, t in df.dtypes} == {d[0]: str(d[1]) for d in described}
+    assert spark_rows(df) == duckdb_rows(con, ORACLES[name])
+
+
+@pytest.mark.parametrize("name", ["temperature_rankings", "consumption_ranking", "city_history"])
+def test_order_is_kept(spark, con, sf_dir, name):
+    rows = QUERIES[name](spark, sf_dir).collect()
+    key = {"city_history": "date"}.get(name, "city")
+    column = [d[0] for d in con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()].index(key)
+    assert [r[key] for r in rows] == [r[column] for r in con.execute(ORACLES[name]).fetchall()]

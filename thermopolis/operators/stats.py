@@ -9,8 +9,6 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from thermopolis.functions.columns import pearson
-
 CORRELATED = [
     "avg_temperature",
     "electricity_kwh",
@@ -26,21 +24,25 @@ QUARTILES = {"q1": 0.25, "q3": 0.75}
 def correlation_matrix(derived: DataFrame, columns: list[str] = CORRELATED) -> DataFrame:
     """Full Pearson matrix in long form, over rows where every column is known.
 
-    All pairs come out of one aggregate row; the mirrored half and the diagonal are added after it.
+    One pass keeps a deviation per column and a covariance per pair; the mirrored half and the
+    diagonal are added to that one row.
     """
     complete = derived.where(reduce(and_, [F.col(c).isNotNull() for c in columns]))
     pairs = list(combinations(columns, 2))
     row = complete.agg(
-        *[pearson(a, b).alias(f"{a}|{b}") for a, b in pairs],
-        F.when(F.count("*") > 0, F.lit(1.0)).alias("self"),
+        F.count("*").alias("n"),
+        *[F.stddev_pop(c).alias(f"dev|{c}") for c in columns],
+        *[F.covar_pop(a, b).alias(f"{a}|{b}") for a, b in pairs],
     )
 
     def cell(a, b, value):
-        return F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), F.col(value).alias("corr"))
+        return F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), value.alias("corr"))
 
-    cells = [cell(c, c, "self") for c in columns]
+    cells = [cell(c, c, F.when(F.col("n") > 0, F.lit(1.0))) for c in columns]
     for a, b in pairs:
-        cells += [cell(a, b, f"`{a}|{b}`"), cell(b, a, f"`{a}|{b}`")]
+        spread = F.col(f"dev|{a}") * F.col(f"dev|{b}")
+        value = F.col(f"{a}|{b}") / F.nullif(spread, F.lit(0.0))
+        cells += [cell(a, b, value), cell(b, a, value)]
     return row.select(F.inline(F.array(*cells)))
 
 

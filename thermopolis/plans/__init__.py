@@ -1,0 +1 @@
+"""The three jobs: ingest, etl, analysis."""

@@ -27,6 +27,12 @@ READINGS = _struct(
 # The raw zone this engine writes keeps the fetch instant as a column.
 STAMPED_READINGS = StructType(READINGS.fields + [StructField("snapshot", TimestampType(), True)])
 
+COLLECTED = _struct(
+    ("name", StringType()),
+    ("snapshot", TimestampType()),
+    ("payload", StringType()),
+)
+
 PAYLOAD = _struct(
     (
         "hourly",

@@ -1,0 +1 @@
+"""Reading and writing the raw, trusted and refined zones."""

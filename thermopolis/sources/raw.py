@@ -13,6 +13,15 @@ from thermopolis.functions.columns import PAYLOAD_TIME, snapshot_from_file_name
 
 CORRUPT = "_corrupt"
 
+# The integer column of each relational table that a parallel read splits on.
+PARTITION_KEYS = {
+    "cities": "id",
+    "regions": "id",
+    "city_region": "city_id",
+    "population": "city_id",
+    "city_consumption": "id",
+}
+
 
 class MissingInputError(FileNotFoundError):
     """A required input table cannot be read."""
@@ -78,26 +87,28 @@ def jdbc_table(
     url: str,
     table: str,
     properties: dict[str, str] | None = None,
-    partition_column: str | None = None,
-    bounds: tuple[int, int] | None = None,
     partitions: int = 1,
 ) -> DataFrame:
-    """One database table. With a partition column the executors read ranges of it side by side.
+    """One database table, read as ``partitions`` ranges of its key side by side.
 
-    Rows outside ``bounds`` are read too, by the first and the last range.
+    The database itself is asked for the ends of the key, one row. Rows that appear outside them
+    later, or have no key, still come with the first or the last range.
     """
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    reader = reader.options(**(properties or {}))
-    if partition_column is not None:
-        if bounds is None:
-            raise ValueError("partition_column needs bounds")
-        reader = reader.options(
-            partitionColumn=partition_column,
-            lowerBound=bounds[0],
-            upperBound=bounds[1],
-            numPartitions=partitions,
-        )
-    return reader.load()
+
+    def reader():
+        return spark.read.format("jdbc").option("url", url).options(**(properties or {}))
+
+    whole = reader().option("dbtable", table)
+    if partitions == 1:
+        return whole.load()
+    key = PARTITION_KEYS[table]
+    ends = f"(SELECT min({key}) AS low, max({key}) AS high FROM {table}) ends"
+    low, high = reader().option("dbtable", ends).load().first()
+    if low is None:
+        return whole.load()
+    return whole.options(
+        partitionColumn=key, lowerBound=low, upperBound=high, numPartitions=partitions
+    ).load()
 
 
 def snapshot_tables(
@@ -114,6 +125,11 @@ def snapshot_tables(
     return done
 
 
+def read_collected(spark: SparkSession, path: str) -> DataFrame:
+    """Service answers as collected: city, fetch instant and the whole text, one JSON object a line."""
+    return spark.read.schema(schemas.COLLECTED).json(path)
+
+
 def parse_payloads(payloads: DataFrame) -> DataFrame:
     """Adds ``hourly`` and ``is_good`` to rows with a JSON ``payload``.
 
