@@ -88,9 +88,13 @@ def test_etl_without_matching_names_keeps_the_old_output(spark, raw_zone, tmp_pa
     assert zones.read_trusted(spark, trusted).count() == 1
 
 
-def test_shuffle_partitions_grow_with_the_input():
-    assert session.shuffle_partitions_for(0, 8) == 8
-    assert session.shuffle_partitions_for(100 * 2**40, 8) == 819_200
+def test_sizes_grow_with_the_input_and_stay_bounded():
+    def sizes(n):
+        return tuple(session.sizing(n, cores=8).values())
+
+    assert sizes(0) == (128 * session.MIB, 8)
+    assert sizes(100 * session.GIB) == (128 * session.MIB, 800)
+    assert sizes(100 * 1024 * session.GIB) == (session.GIB, 50_000)
 
 
 def test_materialized_rows_come_from_the_named_folder(spark):

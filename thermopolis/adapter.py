@@ -106,21 +106,16 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     A fetch covers a block of ``PAYLOAD_ROWS`` event ids, so no text grows with the data even if one
     city holds a large share of it.
     """
-    reading = F.struct(
-        F.col("ts"),
-        F.col("event_id"),
-        F.date_format(F.col("ts").cast("timestamp"), PAYLOAD_TIME).alias("time"),
-        F.col("value").alias("temperature_2m"),
-        F.col("event_type"),
-    )
+    reading = F.struct("ts", "event_id", "value", "event_type")
     fetches = (
         table(spark, sf_dir, "events")
         .groupBy("user_id", F.expr(f"event_id div {PAYLOAD_ROWS}").alias("fetch"))
         .agg(F.sort_array(F.collect_list(reading)).alias("hours"))
     )
-    hourly = F.struct(
-        F.col("hours.time").alias("time"), F.col("hours.temperature_2m").alias("temperature_2m")
+    times = F.transform(
+        "hours", lambda hour: F.date_format(hour["ts"].cast("timestamp"), PAYLOAD_TIME)
     )
+    hourly = F.struct(times.alias("time"), F.col("hours.value").alias("temperature_2m"))
     return fetches.select(
         F.col("user_id").cast("string").alias("name"),
         F.to_json(F.struct(hourly.alias("hourly"))).alias("payload"),

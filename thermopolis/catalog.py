@@ -39,6 +39,8 @@ _DECIMALS = {
     "q3": 4,
     "mean": 4,
     "stddev": 4,
+    "min": 4,
+    "max": 4,
 }
 _CORRELATIONS = {"corr", "temp_electricity_corr", "temp_water_corr", "electricity_water_corr"}
 

@@ -63,8 +63,8 @@ def _fit_scaler(assembled: DataFrame) -> StandardScalerModel:
 
 def regression_rows(derived: DataFrame) -> DataFrame:
     """Materialized, assembled rows with their split; unlabelled rows have nothing to learn from."""
-    rows = with_split(derived).select("city", "date", *REGRESSION_FEATURES, LABEL, "is_train")
-    return materialize(_assemble(rows.where(F.col(LABEL).isNotNull()), REGRESSION_FEATURES))
+    rows = _assemble(with_split(derived.where(F.col(LABEL).isNotNull())), REGRESSION_FEATURES)
+    return materialize(rows.select("city", "date", "avg_temperature", LABEL, "is_train", "features"))
 
 
 def scale(rows: DataFrame) -> DataFrame:
@@ -140,7 +140,7 @@ def electricity_predictions(scored: DataFrame) -> DataFrame:
 
 def city_clusters(features: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
     """Cities with all six features known, grouped by k-means. Labels carry no order."""
-    rows = materialize(_assemble(features, CLUSTER_FEATURES))
+    rows = materialize(_assemble(features, CLUSTER_FEATURES).select("city", "features"))
     scaled = _fit_scaler(rows).transform(rows)
     kmeans = KMeans(k=k, seed=seed, featuresCol="scaled_features", predictionCol="cluster")
     return kmeans.fit(scaled).transform(scaled).select("city", "cluster")

@@ -126,8 +126,8 @@ def _matrix() -> str:
 def _described() -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS variable, count({c}) AS n, round(avg({c}), 4) AS mean, "
-        f"round(stddev_samp({c}), 4) AS stddev, round(min({c}), 6) AS min, "
-        f"round(max({c}), 6) AS max FROM derived"
+        f"round(stddev_samp({c}), 4) AS stddev, round(min({c}), 4) AS min, "
+        f"round(max({c}), 4) AS max FROM derived"
         for c in ["avg_temperature", "electricity_kwh", "kwh_per_capita", "temp_range"]
     )
 

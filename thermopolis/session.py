@@ -8,12 +8,25 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MIB = 1024 * 1024
+GIB = 1024 * MIB
+# Bounds on tasks of a stage: a shuffle keeps one status per map task and reads maps x reduces blocks.
+MAX_SCAN_TASKS = 100_000
+MAX_SHUFFLE_PARTITIONS = 50_000
 
 
-def shuffle_partitions_for(input_bytes: int, minimum: int) -> int:
-    """Initial shuffle partitions for a job reading ``input_bytes``; AQE coalesces from there."""
-    return max(minimum, math.ceil(input_bytes / TARGET_PARTITION_BYTES))
+def sizing(input_bytes: int, cores: int) -> dict[str, int]:
+    """Split size and initial shuffle partitions for a job reading ``input_bytes``.
+
+    128 MiB each until the task bounds are met, then larger pieces, which spill. AQE coalesces
+    shuffle partitions that aggregation has made small.
+    """
+    split = min(GIB, max(128 * MIB, math.ceil(input_bytes / MAX_SCAN_TASKS)))
+    partitions = min(MAX_SHUFFLE_PARTITIONS, max(cores, math.ceil(input_bytes / (128 * MIB))))
+    return {
+        "spark.sql.files.maxPartitionBytes": split,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions,
+    }
 
 
 def build_session(
@@ -36,8 +49,8 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     if input_bytes is not None:
-        partitions = shuffle_partitions_for(input_bytes, spark.sparkContext.defaultParallelism)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
+        for key, value in sizing(input_bytes, spark.sparkContext.defaultParallelism).items():
+            spark.conf.set(key, value)
     return spark
 
 

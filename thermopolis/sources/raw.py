@@ -139,32 +139,37 @@ def parse_payloads(payloads: DataFrame) -> DataFrame:
     schema = StructType(schemas.PAYLOAD.fields + [StructField(CORRUPT, StringType(), True)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json("payload", schema, options)
-    good = (
-        F.col("parsed")[CORRUPT].isNull()
-        & F.col("parsed.hourly.time").isNotNull()
-        & F.col("parsed.hourly.temperature_2m").isNotNull()
-    )
+
+    def whole(answer):
+        return (
+            answer[CORRUPT].isNull()
+            & answer["hourly"]["time"].isNotNull()
+            & answer["hourly"]["temperature_2m"].isNotNull()
+        )
+
+    # ``exists`` names the parsed answer once. Written as three conditions on the column, a filter on
+    # ``is_good`` would be pushed below the projection and parse every text three times.
     return (
         payloads.withColumn("parsed", parsed)
-        .withColumn("is_good", F.coalesce(good, F.lit(False)))
+        .withColumn("is_good", F.exists(F.array("parsed"), whole))
         .withColumn("hourly", F.col("parsed.hourly"))
         .drop("parsed")
     )
 
 
 def explode_payloads(parsed: DataFrame) -> DataFrame:
-    """One row per hour of each good payload. The longer array is cut to the shorter one."""
-    hours = F.least(F.size("hourly.time"), F.size("hourly.temperature_2m"))
+    """One row per hour of each good payload. The longer array is cut to the shorter one.
+
+    A bad payload is cut to no hours rather than filtered out, so that its text is parsed once.
+    """
+    n_times, n_temps = F.size("hourly.time"), F.size("hourly.temperature_2m")
+    hours = F.when(F.col("is_good"), F.least(n_times, n_temps)).otherwise(0)
     kept = [c for c in parsed.columns if c not in ("payload", "hourly", "is_good")]
-    return (
-        parsed.where("is_good")
-        .select(
-            *kept,
-            F.slice("hourly.time", F.lit(1), hours).alias("time"),
-            F.slice("hourly.temperature_2m", F.lit(1), hours).alias("temperature_2m"),
-        )
-        .select(*kept, F.inline(F.arrays_zip("time", "temperature_2m")))
-    )
+    return parsed.select(
+        *kept,
+        F.slice("hourly.time", F.lit(1), hours).alias("time"),
+        F.slice("hourly.temperature_2m", F.lit(1), hours).alias("temperature_2m"),
+    ).select(*kept, F.inline(F.arrays_zip("time", "temperature_2m")))
 
 
 def payload_readings(parsed: DataFrame) -> DataFrame:

@@ -13,10 +13,11 @@ class EmptyOutputError(ValueError):
 
 
 def append_readings(readings: DataFrame, path: str) -> None:
-    """Add stamped readings to the raw zone, one folder per fetch day."""
+    """Add stamped readings to the raw zone, one folder per fetch day, in files of even size."""
     (
         schemas.require_columns(readings, schemas.STAMPED_READINGS, "readings")
         .select(*schemas.STAMPED_READINGS.names, F.to_date("snapshot").alias("snapshot_date"))
+        .hint("rebalance", "snapshot_date")
         .write.mode("append")
         .partitionBy("snapshot_date")
         .parquet(path)
