@@ -68,7 +68,7 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get(CHECKPOINT_KEY)
+        folder = df.sparkSession.conf.get(CHECKPOINT_KEY, None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
