@@ -1,0 +1,80 @@
+"""The plan is the one the operator is written for."""
+
+import re
+
+import pytest
+
+from thermopolis import adapter
+from thermopolis.catalog import QUERIES
+from thermopolis.oracle import ORACLES
+from thermopolis.sources import raw
+
+# Built from a checkpoint, so the plan in hand is only the last part.
+EAGER = {"kwh_quartiles", "kwh_fences", "kwh_outliers", "kwh_outlier_count", "scaled_features"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def plan_of(spark, sf_dir):
+    return lambda name: plan(QUERIES[name](spark, sf_dir))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES.keys() - EAGER))
+def test_jvm_only_and_no_product(plan_of, name):
+    text = plan_of(name)
+    for word in ("Python", "Pandas", "Cartesian", "NestedLoop", "Window"):
+        assert word not in text
+
+
+def test_readings_combine_before_the_shuffle_and_columns_are_pruned(plan_of):
+    text = plan_of("daily_weather")
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.index("Exchange") < text.index("partial_avg") < text.index("FileScan")
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in text
+
+
+def test_newest_copy_is_a_hash_aggregate(plan_of):
+    text = plan_of("daily_weather_latest")
+    assert "partial_max_by" in text
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
+def test_year_reaches_the_orders_scan(plan_of):
+    text = plan_of("trusted_year")
+    # The plan cuts long filter lists short, so only the first bound is looked for.
+    assert len(re.findall(r"PushedFilters: [^\n]*GreaterThanOrEqual\(o_orderdate,2000-01-01", text)) == 2
+
+
+def test_facts_meet_without_another_shuffle(spark, sf_dir):
+    """With broadcasts off: one exchange per fact table, none between their join and aggregate."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["city_info"](spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning(o_custkey") == 2
+    assert text.count("Exchange hashpartitioning(city_id") == 1
+
+
+def test_history_is_a_top_k(plan_of):
+    text = plan_of("city_history")
+    assert "TakeOrderedAndProject(limit=30, orderBy=[date" in text
+
+
+def test_each_input_of_the_stage_counts_is_read_once(plan_of):
+    text = plan_of("stage_counts")
+    assert len(re.findall(r"events\.parquet", text)) == 1
+    assert len(re.findall(r"lineitem\.parquet", text)) == 1
+
+
+@pytest.mark.parametrize("use", [raw.explode_payloads, raw.payload_status])
+def test_a_payload_is_parsed_once(spark, sf_dir, use):
+    text = plan(use(raw.parse_payloads(adapter.payloads(spark, sf_dir).select("name", "payload"))))
+    assert text.count("from_json(") == 1
+
+
+def test_matrix_is_one_aggregate(plan_of):
+    assert plan_of("correlation_matrix").count("partial_covar_pop") == 15
