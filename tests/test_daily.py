@@ -4,6 +4,7 @@ from collections import defaultdict
 import pytest
 
 import micro
+from thermopolis import schemas
 from thermopolis.operators.daily import daily_weather, latest_readings
 
 
@@ -33,6 +34,20 @@ def test_overlapping_snapshots(spark):
     assert by_key(daily_weather(df, dedupe="latest"))[("A", "2025-05-27")] == (30.0, 20.0, 40.0)
 
 
+def test_copies_of_unknown_age_count_as_oldest(spark):
+    df = micro.stamped(spark, [("A", "2025-05-27T00:00", 10.0, "2025-05-26T10:00")]).unionAll(
+        spark.createDataFrame(
+            [
+                (micro.at("2025-05-27T00:00"), 99.0, "A", None),
+                (micro.at("2025-05-27T01:00"), 20.0, "A", None),
+                (micro.at("2025-05-27T01:00"), 30.0, "A", None),
+            ],
+            schemas.STAMPED_READINGS,
+        )
+    )
+    assert sorted(r["temperature_2m"] for r in latest_readings(df).collect()) == [10.0, 30.0]
+
+
 def test_unknown_dedupe_is_refused(spark):
     with pytest.raises(ValueError):
         daily_weather(micro.readings(spark, []), dedupe="first")

@@ -12,11 +12,13 @@ def latest_readings(readings: DataFrame) -> DataFrame:
     """One reading per (name, hour): the one from the newest snapshot.
 
     ``max_by`` combines on the map side, so overlapping snapshots shrink before the shuffle; a
-    ``row_number`` window would ship and sort every copy. A snapshot holds an hour once.
+    ``row_number`` window would ship and sort every copy. A snapshot holds an hour once. Copies of
+    unknown age count as older than any other; if there are only such, the greatest is kept.
     """
-    return (
-        readings.groupBy("name", F.date_trunc("hour", "time").alias("time"))
-        .agg(F.max_by("temperature_2m", "snapshot").alias("temperature_2m"))
+    newest = F.max_by("temperature_2m", "snapshot")
+    undated = F.count("snapshot") == 0
+    return readings.groupBy("name", F.date_trunc("hour", "time").alias("time")).agg(
+        F.when(undated, F.max("temperature_2m")).otherwise(newest).alias("temperature_2m")
     )
 
 

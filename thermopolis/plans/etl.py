@@ -1,7 +1,7 @@
 """Raw zone to trusted zone.
 
-Run as ``python -m thermopolis.plans.etl`` or hand this file to ``spark-submit``. A failed run leaves
-the process with an error, and the earlier trusted rows in place.
+Run as ``python -m thermopolis.plans.etl`` or hand this file to ``spark-submit`` with the package in
+``--py-files``. A failed run leaves the process with an error, and the earlier trusted rows in place.
 """
 
 from __future__ import annotations
