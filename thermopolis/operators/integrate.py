@@ -26,7 +26,9 @@ def city_info(
     every population year.
     """
     located = cities.join(
-        city_region.withColumnRenamed("city_id", "located_id"), F.col("id") == F.col("located_id"), "left"
+        city_region.withColumnRenamed("city_id", "located_id"),
+        F.col("id") == F.col("located_id"),
+        "left",
     ).join(
         regions.select(F.col("id").alias("country_id"), "region_name"),
         F.col("region_id") == F.col("country_id"),

@@ -1,6 +1,7 @@
 """Trusted zone to refined zone.
 
-Run as ``python -m thermopolis.plans.analysis`` or hand this file to ``spark-submit`` with the package in ``--py-files``.
+Run as ``python -m thermopolis.plans.analysis`` or hand this file to ``spark-submit`` with the package in
+``--py-files``.
 """
 
 from __future__ import annotations

@@ -1,6 +1,7 @@
 """Collected answers and relational tables into the raw zone.
 
-Run as ``python -m thermopolis.plans.ingest`` or hand this file to ``spark-submit`` with the package in ``--py-files``.
+Run as ``python -m thermopolis.plans.ingest`` or hand this file to ``spark-submit`` with the package in
+``--py-files``.
 """
 
 from __future__ import annotations

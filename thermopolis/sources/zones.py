@@ -36,13 +36,9 @@ def read_mart(spark: SparkSession, path: str, mart: str, fmt: str = "parquet") -
     A CSV header is read, not assumed: columns may be missing or renamed in older copies.
     """
     schema = schemas.MARTS[mart]
-    if fmt != "csv":
-        return schemas.require_columns(rename_legacy(spark.read.format(fmt).load(path)), schema, mart).select(
-            *schema.names
-        )
-    found = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    found = schemas.require_columns(rename_legacy(found), schema, mart)
-    return found.select(
+    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+    found = rename_legacy(reader.format(fmt).load(path))
+    return schemas.require_columns(found, schema, mart).select(
         *[F.col(field.name).try_cast(field.dataType).alias(field.name) for field in schema]
     )
 
