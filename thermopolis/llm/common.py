@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,6 +31,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch(spark, name: str) -> str:
+    """A new folder name below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4()}"
+
+
+def remove(spark, folder: str) -> None:
+    """Delete a folder that ``scratch`` named, in whatever store it lies."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of one string column, a longer row alone."""
     for batch in batches:

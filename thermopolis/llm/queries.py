@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from thermopolis.llm import simhash
+from thermopolis.llm import lines, simhash, warc
+from thermopolis.llm.common import materialize, remove, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,3 +28,52 @@ def _query(fn: Query) -> Query:
 @_query
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_distance=3)
+
+
+@_query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edited = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
+    return edited.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
+
+
+ORACLES["op2_line_dedup"] = f"""
+WITH pages AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+totals AS (SELECT source, count(*) AS host_pages FROM pages GROUP BY source),
+distinct_lines AS (SELECT source, unnest(list_distinct(lines)) AS line FROM pages),
+counted AS (SELECT source, line, count(*) AS n FROM distinct_lines WHERE trim(line, ' ') <> '' GROUP BY source, line),
+bad AS (
+  SELECT source, list(line) AS bad_lines FROM counted JOIN totals USING (source)
+  WHERE n >= {lines.MIN_PAGES} AND n > {lines.MAX_RATIO}::DOUBLE * host_pages GROUP BY source
+),
+kept AS (
+  SELECT doc_id, lines, list_filter(lines, lambda x: NOT list_contains(coalesce(bad_lines, []), x)) AS good
+  FROM pages LEFT JOIN bad USING (source)
+)
+SELECT doc_id, len(lines)::INTEGER AS n_lines, (len(lines) - len(good))::INTEGER AS n_dropped,
+  md5(array_to_string(good, chr(10))) AS text_md5
+FROM kept
+"""
+
+
+@_query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), folder)
+    records = warc.read_archive(spark, folder, payloads=False).drop("headers", "url")
+    records = materialize(records)
+    remove(spark, folder)
+    return warc.restore(records).select(
+        "page_id", "payload_bytes", F.col("sha1").alias("payload_digest"), "record_type", "refers_to"
+    )
+
+
+ORACLES["op10_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (1 + ((('0x' || substr(x, (1 + 5 * (i // 4))::INTEGER, 5))::BIGINT >> (5 * (3 - i % 4))::INTEGER) & 31))::INTEGER, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
