@@ -42,6 +42,16 @@ def remove(spark, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def put_file(spark, path: str, content: bytes) -> str:
+    """Ship a small file to every executor; its name there, for ``SparkFiles.get``."""
+    jvm, target = spark.sparkContext._jvm, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(content))
+    stream.close()
+    spark.sparkContext.addFile(path)
+    return jvm.org.apache.hadoop.fs.Path(path).getName()
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of one string column, a longer row alone."""
     for batch in batches:

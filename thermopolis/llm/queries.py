@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermopolis.llm import lines, simhash, warc
+from thermopolis.llm import bpe, lines, simhash, tokens, warc
 from thermopolis.llm.common import materialize, remove, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +78,18 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM d
 """
+
+
+def word_bpe() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokens.count_tokens(table(spark, sf_dir, "documents"), word_bpe())
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@_query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), word_bpe(), full=False)
