@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermopolis.llm import bpe, lines, simhash, tokens, warc
+from thermopolis.llm import bpe, decontaminate, lines, simhash, tokens, warc
 from thermopolis.llm.common import materialize, remove, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,46 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), word_bpe(), full=False)
+
+
+@_query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", F.round("similarity", 6).alias("similarity"), "start")
+
+
+_WORDS = r"regexp_split_to_array(trim(lower(text), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[ \t\n\x0B\f\r]+')"
+_SHINGLES = "list_transform(range(1, len(w) - least(5, len(w)) + 2), lambda i: list_slice(w, i, i + least(5, len(w)) - 1))"
+ORACLES["op7_decontaminate"] = f"""
+WITH items AS (
+  SELECT item_id, w, len(w) AS n, least(5, len(w)) AS k, len(w) - least(5, len(w)) + 1 AS m, {_SHINGLES} AS shingles
+  FROM (SELECT DISTINCT item_id, list_filter({_WORDS}, lambda x: x <> '') AS w FROM benchmark) WHERE len(w) > 0
+),
+texts AS (
+  SELECT * FROM (SELECT DISTINCT doc_id, list_filter({_WORDS}, lambda x: x <> '') AS w FROM documents) WHERE len(w) > 0
+),
+places AS (
+  SELECT doc_id, k, len(w) AS size, p, list_slice(w, p + 1, p + k) AS shingle
+  FROM texts, (SELECT DISTINCT k FROM items), unnest(range(len(w) - k + 1)) AS u(p)
+),
+item_shingles AS (
+  SELECT item_id, n, k, m, shingle, count(*) AS item_times
+  FROM (SELECT item_id, n, k, m, unnest(shingles) AS shingle FROM items) GROUP BY ALL
+),
+hits AS (SELECT doc_id, size, p, shingle, item_id, n, m, item_times FROM places JOIN item_shingles USING (k, shingle)),
+windows AS (
+  SELECT DISTINCT doc_id, item_id, size, n, m, s
+  FROM hits, unnest(range(greatest(p - m + 1, 0), least(p, greatest(size - n, 0)) + 1)) AS u(s)
+),
+counted AS (
+  SELECT v.doc_id, v.item_id, v.s, v.m, least(v.m, v.size - v.n + v.m) AS shingles, h.shingle, h.item_times, count(*) AS times
+  FROM windows v JOIN hits h ON h.doc_id = v.doc_id AND h.item_id = v.item_id AND h.p BETWEEN v.s AND v.s + v.m - 1
+  GROUP BY ALL
+),
+scored AS (
+  SELECT doc_id, item_id, s, sum(least(times, item_times)) / (shingles + m - sum(least(times, item_times))) AS similarity
+  FROM counted GROUP BY doc_id, item_id, s, m, shingles
+)
+SELECT doc_id, item_id, round(max(similarity), 6) AS similarity, arg_max(s, similarity * 1e9 - s)::INTEGER AS start
+FROM scored WHERE similarity >= {decontaminate.MIN_SIMILARITY} GROUP BY doc_id, item_id
+"""
