@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermopolis.llm import bpe, decontaminate, lines, simhash, tokens, warc
+from thermopolis.llm import bpe, decontaminate, lines, simhash, tokens, vectors, warc
 from thermopolis.llm.common import materialize, remove, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,3 +136,30 @@ scored AS (
 SELECT doc_id, item_id, round(max(similarity), 6) AS similarity, arg_max(s, similarity * 1e9 - s)::INTEGER AS start
 FROM scored WHERE similarity >= {decontaminate.MIN_SIMILARITY} GROUP BY doc_id, item_id
 """
+
+
+@_query
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op8_embedding_dedup"] = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+),
+usable AS (
+  SELECT vec_id, label, x, sqrt(list_dot_product(x, x)) AS norm FROM v
+  WHERE label IS NOT NULL AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(x, lambda e: e <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.x, b.x) / a.norm / b.norm >= {vectors.MIN_COSINE}
+),
+reached(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+least AS (SELECT a, min(b) AS m FROM reached GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(least(m, vec_id), vec_id) AS component_id,
+  coalesce(m, vec_id) >= vec_id AS kept
+FROM embeddings LEFT JOIN counts ON counts.a = vec_id LEFT JOIN least ON least.a = vec_id
+"""
