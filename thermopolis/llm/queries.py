@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermopolis.llm import bpe, decontaminate, lines, simhash, tokens, vectors, warc
+from thermopolis.llm import bpe, decontaminate, lines, simhash, tokens, toxicity, vectors, warc
 from thermopolis.llm.common import materialize, remove, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,3 +163,18 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(least(m, vec_id), vec
   coalesce(m, vec_id) >= vec_id AS kept
 FROM embeddings LEFT JOIN counts ON counts.a = vec_id LEFT JOIN least ON least.a = vec_id
 """
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Scores learnt from the labels that are not held out."""
+    return toxicity.score(docs, labels.where(~held_out()))
+
+
+@_query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
