@@ -14,12 +14,14 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermopolis.llm.common import pieces, put_file, scratch
+from thermopolis.llm.common import materialize, pieces, put_file, scratch
 from thermopolis.llm.tokens import load
-from thermopolis.llm.words import MEMO_ROWS, Merger, splitter, worker_memo
+from thermopolis.llm.words import MEMO_ROWS, Merger, make_room, runs_of, splitter, worker_memo
 
 #: Words in the transducer, the most frequent of the corpus.
-LEXICON_WORDS = 100_000
+LEXICON_WORDS = 200_000
+#: Words seen less often never enter it.
+LEXICON_COUNT = 3
 #: Longer words are left to the merges, which bounds the transducer's size.
 LEXICON_BYTES = 64
 PIECE = 4 << 20
@@ -46,7 +48,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
         for batch in pieces(batches, 0, PIECE):
             for text in batch.column(0).cast(pa.large_binary()).to_pylist():
-                seen.update((text or b"").split())
+                seen.update(runs_of(text))
             if len(seen) > MEMO_ROWS:
                 yield flush()
         if seen:
@@ -141,10 +143,24 @@ def compile_words(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
 
 
 def lexicon(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS, text_col: str = "text") -> bytes:
-    """The transducer of the corpus's most frequent words, ties by the word; a few MB at any size."""
+    """The transducer of the corpus's most frequent words, ``words`` at most; a few MB at any size.
+
+    The least count that enters comes from a histogram of the counts, in steps of an eighth of a
+    doubling, so the driver gets the lexicon and a few hundred numbers and no task sorts words.
+    """
     merge = Merger(tokenizer)
-    most = word_counts(docs, text_col).orderBy(F.desc("n"), "word").limit(words).select("word")
-    return compile_words((r.word.encode(), merge(r.word)) for r in most.collect())
+    counts = materialize(word_counts(docs, text_col).where(F.col("n") >= LEXICON_COUNT))
+    band = F.floor(F.log2("n") * 8)
+    left, least = words, None
+    for r in sorted(counts.groupBy(band.alias("band")).count().collect(), reverse=True):
+        left -= r["count"]
+        if left < 0:
+            break
+        least = r.band
+    if least is None:
+        return compile_words([])
+    most = counts.where(band >= least).select("word").collect()
+    return compile_words((r.word.encode(), merge(r.word)) for r in most)
 
 
 def encode_decode(
@@ -184,10 +200,8 @@ def encode_decode(
             return ids
 
         def learn(runs: set[bytes]) -> None:
-            if len(memo) + len(runs) > MEMO_ROWS:
-                memo.clear()
-            if len(word_memo) > MEMO_ROWS:
-                word_memo.clear()
+            make_room(memo, len(runs))
+            make_room(word_memo, len(runs))
             for run in runs:
                 if run not in memo:
                     text = run.decode()
@@ -199,7 +213,7 @@ def encode_decode(
                     memo[run] = (" ".join(map(str, ids)).encode(), " ".join([tokens[i] for i in ids]).encode())
 
         for batch in pieces(batches, 1, PIECE):
-            runs = [(x or b"").split() for x in batch.column(1).cast(pa.large_binary()).to_pylist()]
+            runs = [runs_of(x) for x in batch.column(1).cast(pa.large_binary()).to_pylist()]
             learn({w for ws in runs for w in ws})
             out: list[list] = [[] for _ in range(5 if full else 3)]
             for ws in runs:

@@ -17,7 +17,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters whose case, class and normal form need no table of the library's.
 PLAIN = re.compile("[!-~\xa1-ſ]+")
 SPECIAL = "<|"
-MEMO_ROWS = 400_000
+MEMO_ROWS = 500_000
 
 
 def worker_memo(name: str) -> dict:
@@ -25,6 +25,19 @@ def worker_memo(name: str) -> dict:
     return sys.modules.setdefault(f"_memo_{name}", types.ModuleType(f"_memo_{name}")).__dict__.setdefault("rows", {})
 
 
+def make_room(memo: dict, new: int, most: int = MEMO_ROWS) -> None:
+    """Forget the newer half if ``new`` rows do not fit: what came first is what is frequent."""
+    if len(memo) + new > most:
+        for key in list(memo)[len(memo) // 2 :]:
+            del memo[key]
+
+
+def runs_of(text: bytes | None) -> list[bytes]:
+    """A text's runs between ASCII white space, A-Z lower-cased unless a special token may be inside."""
+    text = text or b""
+    return (text if SPECIAL.encode() in text else text.lower()).split()
+
+
 def splitter():
     """A function from a run without ASCII white space to its words, None if only the library may tell."""
     find = regex.compile(PATTERN).findall
@@ -54,11 +67,13 @@ class Merger:
         parts = [self.letters[b] for b in word.encode()]
         parts[-1] += self.end
         rank, none = self.rank.get, len(self.rank)
-        while len(parts) > 1:
-            ranks = [rank(pair, none) for pair in zip(parts, parts[1:], strict=False)]
-            least = min(ranks)
-            if least == none:
-                break
+        ranks = [rank(pair, none) for pair in zip(parts, parts[1:])]  # noqa: B905
+        while ranks and (least := min(ranks)) < none:
             at = ranks.index(least)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank((parts[at - 1], parts[at]), none)
+            if at < len(ranks):
+                ranks[at] = rank((parts[at], parts[at + 1]), none)
         return [self.ids[part] for part in parts]
