@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermopolis.llm import bpe, decontaminate, lines, simhash, tokens, toxicity, vectors, warc
+from thermopolis.llm import bpe, decontaminate, lines, simhash, suffixes, tokens, toxicity, vectors, warc
 from thermopolis.llm.common import materialize, remove, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,3 +178,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@_query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.cut_repeats(table(spark, sf_dir, "documents"), length=100, texts=False)
