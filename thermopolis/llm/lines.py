@@ -48,8 +48,10 @@ def drop_boilerplate(
     min_pages: int = MIN_PAGES,
     host_col: str = "source",
     text_col: str = "text",
+    counts: bool = True,
 ) -> DataFrame:
-    """``docs`` without boilerplate lines, with ``n_lines`` (before) and ``n_dropped`` added at the end.
+    """``docs`` without boilerplate lines, with ``n_lines`` (before) and ``n_dropped`` added at the end
+    unless ``counts`` is off.
 
     The text's other lines stay byte for byte and in order. Each host's few lines are joined to its
     pages; Spark broadcasts them while they are small and splits a hot host's pages beyond that.
@@ -70,6 +72,9 @@ def drop_boilerplate(
             F.when(edited, F.array_join(kept, "\n")).otherwise(F.col(text_col)).alias(c) if c == text_col else F.col(f"`{c}`")
             for c in docs.columns
         ],
-        F.when(F.col(text_col).isNull(), 0).otherwise(before).cast("int").alias("n_lines"),
-        F.when(edited, before - F.size(kept)).otherwise(0).cast("int").alias("n_dropped"),
+        *[
+            F.when(F.col(text_col).isNull(), 0).otherwise(before).cast("int").alias("n_lines"),
+            F.when(edited, before - F.size(kept)).otherwise(0).cast("int").alias("n_dropped"),
+        ]
+        * counts,
     )

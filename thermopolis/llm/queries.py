@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermopolis.llm import bpe, decontaminate, lines, simhash, suffixes, tokens, toxicity, vectors, warc
+from thermopolis.llm import bpe, decontaminate, licenses, lines, simhash, suffixes, tokens, toxicity, vectors, warc
 from thermopolis.llm.common import materialize, remove, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -183,3 +183,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.cut_repeats(table(spark, sf_dir, "documents"), length=100, texts=False)
+
+
+@_query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))

@@ -261,4 +261,27 @@ def score(
     return scored.withColumnRenamed("doc_id", id_col)
 
 
+def reject(
+    docs: DataFrame,
+    labels: DataFrame,
+    max_examples: int = MAX_EXAMPLES,
+    max_terms: int = MAX_TERMS,
+    neighbours: int = NEIGHBOURS,
+) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any others) that ``score`` does not predict toxic.
+
+    Rows are dropped where they are scored, so no text is shuffled for it.
+    """
+    terms, index = fit(docs, labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")), max_examples, max_terms)
+    column = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vector = Vectorizer(terms)
+        for batch in pieces(batches, column, PIECE):
+            texts = batch.column(column).cast(pa.large_binary()).to_pylist()
+            yield batch.filter(pa.array([index.score(vector(x), neighbours)[0] < 0.5 for x in texts]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 EVIDENCE_ARROW = pa.list_(pa.struct([("example_id", pa.int64()), ("cosine", pa.float64()), ("toxic_share", pa.float64())]))
