@@ -48,6 +48,15 @@ def test_copies_of_unknown_age_count_as_oldest(spark):
     assert sorted(r["temperature_2m"] for r in latest_readings(df).collect()) == [10.0, 30.0]
 
 
+def test_equal_stamps_and_times_within_an_hour(spark):
+    rows = [("A", f"2025-05-27T00:{m:02d}", float(m), "2025-05-26T10:00") for m in (0, 30, 45)]
+    rows += [("A", "2025-05-27T00:00", t, "2025-05-26T10:00") for t in (9.0, 2.0, 1.0)]
+    df = micro.stamped(spark, rows)
+    for layout in (df.repartition(1), df.repartition(5), df.orderBy("temperature_2m").coalesce(2)):
+        got = sorted(r["temperature_2m"] for r in latest_readings(layout).collect())
+        assert got == [9.0, 30.0, 45.0]
+
+
 def test_unknown_dedupe_is_refused(spark):
     with pytest.raises(ValueError):
         daily_weather(micro.readings(spark, []), dedupe="first")

@@ -10,7 +10,12 @@ from thermopolis.oracle import ORACLES
 from thermopolis.sources import raw
 
 # Built from a checkpoint, so the plan in hand is only the last part.
-EAGER = {"kwh_quartiles", "kwh_fences", "kwh_outliers", "kwh_outlier_count", "scaled_features"}
+QUANTILES = {"kwh_quartiles", "kwh_fences", "kwh_outliers", "kwh_outlier_count"}
+LEARNING = {
+    "scaled_features", "predict_linear", "linear_rmse", "predict_forest", "rmse_report",
+    "electricity_predictions", "city_clusters", "cluster_sizes",
+}
+EAGER = QUANTILES | LEARNING
 
 
 def plan(df):
@@ -38,14 +43,19 @@ def test_readings_combine_before_the_shuffle_and_columns_are_pruned(plan_of):
 
 def test_newest_copy_is_a_hash_aggregate(plan_of):
     text = plan_of("daily_weather_latest")
-    assert "partial_max_by" in text
-    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+    assert "partial_max(struct(snapshot" in text
+    assert "Window" not in text
 
 
 def test_year_reaches_the_orders_scan(plan_of):
     text = plan_of("trusted_year")
     # The plan cuts long filter lists short, so only the first bound is looked for.
-    assert len(re.findall(r"PushedFilters: [^\n]*GreaterThanOrEqual\(o_orderdate,2000-01-01", text)) == 2
+    assert len(re.findall(r"PushedFilters: [^\n]*GreaterThanOrEqual\(o_orderdate,2000-01-01", text)) == 3
+
+
+def test_items_of_other_years_go_before_they_are_summed(plan_of):
+    text = plan_of("trusted_year")
+    assert text.index("partial_sum(l_quantity") < text.index("LeftSemi") < text.index("lineitem.parquet")
 
 
 def test_facts_meet_without_another_shuffle(spark, sf_dir):

@@ -54,14 +54,13 @@ def _orders(spark: SparkSession, sf_dir: str, year: int | None) -> DataFrame:
 
 
 def city_consumption(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
-    water = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(F.sum("l_quantity").alias("order_water"))
-    )
+    orders, items = _orders(spark, sf_dir, year), table(spark, sf_dir, "lineitem")
+    if year is not None:
+        # Items of other years go before they are summed and shuffled.
+        items = items.join(orders, items.l_orderkey == orders.o_orderkey, "left_semi")
+    water = items.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("order_water"))
     return (
-        _orders(spark, sf_dir, year)
-        .join(water, F.col("o_orderkey") == F.col("l_orderkey"))
+        orders.join(water, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy(F.col("o_custkey").alias("city_id"), F.year("o_orderdate").alias("year"))
         .agg(
             F.sum("order_water").alias("water_m3"),

@@ -41,6 +41,8 @@ _DECIMALS = {
     "stddev": 4,
     "min": 4,
     "max": 4,
+    "prediction": 2,
+    "rmse": 2,
 }
 _CORRELATIONS = {"corr", "temp_electricity_corr", "temp_water_corr", "electricity_water_corr"}
 
@@ -280,22 +282,48 @@ def scaled_features(spark, sf_dir):
 
 @_query
 def predict_linear(spark, sf_dir):
-    return learning.predict_linear(_derived(spark, sf_dir))
+    return _rounded(learning.predict_linear(_derived(spark, sf_dir)))
+
+
+@_query
+def linear_rmse(spark, sf_dir):
+    error = F.pow(F.col(learning.LABEL) - F.col("prediction"), F.lit(2.0))
+    return _rounded(learning.predict_linear(_derived(spark, sf_dir)).agg(F.sqrt(F.avg(error)).alias("rmse")))
+
+
+# What a forest or k-means finds, SQL cannot state. The queries below give facts computed from the
+# fitted result that SQL can: green there proves the facts, not the predicted values or labels.
 
 
 @_query
 def predict_forest(spark, sf_dir):
-    return learning.predict_forest(_derived(spark, sf_dir), SEED)
+    """Test rows with their label, and whether the prediction lies among the training labels."""
+    derived = _derived(spark, sf_dir)
+    train = learning.regression_rows(derived).where("is_train")
+    least, most = (train.agg(f(learning.LABEL)).scalar() for f in (F.min, F.max))
+    slack = 1e-9 * F.abs(F.col("prediction"))
+    inside = (F.col("prediction") >= least - slack) & (F.col("prediction") <= most + slack)
+    mart = learning.predict_forest(derived, SEED).withColumn("in_range", inside)
+    return _rounded(mart.select("city", "avg_temperature", learning.LABEL, "in_range"))
 
 
 @_query
 def rmse_report(spark, sf_dir):
-    return learning.rmse_report(learning.score_both(_derived(spark, sf_dir), SEED))
+    """How many models were compared and chosen, and whether the chosen one has the least error."""
+    report = learning.rmse_report(learning.score_both(_derived(spark, sf_dir), SEED))
+    return report.agg(
+        F.count("rmse").alias("n_models"),
+        F.count_if("chosen").alias("n_chosen"),
+        (F.min(F.when(F.col("chosen"), F.col("rmse"))) == F.min("rmse")).alias("chosen_is_least"),
+    )
 
 
 @_query
 def electricity_predictions(spark, sf_dir):
-    return learning.electricity_predictions(learning.score_both(_derived(spark, sf_dir), SEED))
+    """Rows of the mart with their label, and whether the prediction is known."""
+    mart = learning.electricity_predictions(learning.score_both(_derived(spark, sf_dir), SEED))
+    known = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    return _rounded(mart.select("city", "avg_temperature", learning.LABEL, known.alias("is_known")))
 
 
 def _clusters(spark, sf_dir):
@@ -304,9 +332,16 @@ def _clusters(spark, sf_dir):
 
 @_query
 def city_clusters(spark, sf_dir):
-    return _clusters(spark, sf_dir)
+    """Every city, and whether it has a cluster."""
+    return _clusters(spark, sf_dir).select("city", F.col("cluster").isNotNull().alias("has_cluster"))
 
 
 @_query
 def cluster_sizes(spark, sf_dir):
-    return learning.cluster_sizes(_clusters(spark, sf_dir))
+    """Cities in the sizes of all clusters, those without one, and whether the labels are 0 to 3."""
+    sizes = learning.cluster_sizes(_clusters(spark, sf_dir))
+    return sizes.agg(
+        F.sum("n_cities").alias("n_cities"),
+        F.coalesce(F.sum(F.when(F.col("cluster").isNull(), F.col("n_cities"))), F.lit(0)).cast("long").alias("n_without"),
+        ((F.min("cluster") >= 0) & (F.max("cluster") <= 3)).alias("labels_in_range"),
+    )

@@ -9,24 +9,23 @@ from thermopolis.functions.columns import DAY
 
 
 def latest_readings(readings: DataFrame) -> DataFrame:
-    """One reading per (name, hour): the one from the newest snapshot.
+    """One reading per (name, time): the one from the newest snapshot.
 
-    ``max_by`` combines on the map side, so overlapping snapshots shrink before the shuffle; a
-    ``row_number`` window would ship and sort every copy. A snapshot holds an hour once. Copies of
-    unknown age count as older than any other; if there are only such, the greatest is kept.
+    Times are compared exactly, so readings within one hour all stay. Of copies with equal stamps the
+    greatest is kept, which makes the result the same however the rows are partitioned. The greatest
+    (stamp, value) combines on the map side, so overlapping snapshots shrink before the shuffle; a
+    ``row_number`` window would ship every copy. Copies of unknown age count as older than any other.
     """
-    newest = F.max_by("temperature_2m", "snapshot")
-    undated = F.count("snapshot") == 0
-    return readings.groupBy("name", F.date_trunc("hour", "time").alias("time")).agg(
-        F.when(undated, F.max("temperature_2m")).otherwise(newest).alias("temperature_2m")
-    )
+    newest = F.max(F.struct("snapshot", "temperature_2m"))
+    grouped = readings.groupBy("name", "time").agg(newest.alias("newest"))
+    return grouped.select("name", "time", F.col("newest.temperature_2m").alias("temperature_2m"))
 
 
 def daily_weather(readings: DataFrame, dedupe: str = "none") -> DataFrame:
     """Average, least and greatest temperature per (name, date).
 
     Consecutive snapshots overlap. ``dedupe="none"`` averages all copies; ``dedupe="latest"`` first
-    keeps the newest copy of each hour and needs a ``snapshot`` column.
+    keeps the newest copy of each reading and needs a ``snapshot`` column.
     """
     if dedupe == "latest":
         readings = latest_readings(readings)

@@ -16,6 +16,7 @@ from thermopolis import schemas
 from thermopolis.functions.columns import is_train
 from thermopolis.session import materialize
 
+# The published features of both models.
 REGRESSION_FEATURES = [
     "avg_temperature",
     "temp_range",
@@ -108,10 +109,14 @@ def predict_forest(derived: DataFrame, seed: int = 42) -> DataFrame:
 
 
 def score_both(derived: DataFrame, seed: int = 42) -> DataFrame:
-    """Test rows with a prediction of each model, sharing one assembler and one scaler."""
+    """Test rows with a prediction of each model, sharing one assembler and one scaler.
+
+    Scored once: the report and the mart read the stored predictions.
+    """
     scaled = scale(regression_rows(derived))
     train, test = scaled.where("is_train"), scaled.where("NOT is_train")
-    return _forest(seed).fit(train).transform(_linear().fit(train).transform(test))
+    scored = _forest(seed).fit(train).transform(_linear().fit(train).transform(test))
+    return materialize(scored.select("city", "date", "avg_temperature", LABEL, LINEAR, FOREST))
 
 
 def rmse_report(scored: DataFrame) -> DataFrame:
@@ -133,17 +138,21 @@ def rmse_report(scored: DataFrame) -> DataFrame:
 
 
 def electricity_predictions(scored: DataFrame) -> DataFrame:
-    """Predictions of the better model. Only the two-row report reaches the driver."""
-    best = rmse_report(scored).where("chosen").first()["model"]
-    return _mart(scored, best)
+    """Predictions of the better model, chosen inside the plan."""
+    best = rmse_report(scored).where("chosen").select("model").scalar()
+    chosen = F.when(best == FOREST, F.col(FOREST)).otherwise(F.col(LINEAR))
+    return _mart(scored.withColumn("prediction", chosen), "prediction")
 
 
 def city_clusters(features: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
-    """Cities with all six features known, grouped by k-means. Labels carry no order."""
+    """Cities grouped by k-means over six features. Labels carry no order, and NULL is the label of a
+    city with an unknown feature. Like the forest, the groups may differ between layouts of the rows.
+    """
     rows = materialize(_assemble(features, CLUSTER_FEATURES).select("city", "features"))
     scaled = _fit_scaler(rows).transform(rows)
     kmeans = KMeans(k=k, seed=seed, featuresCol="scaled_features", predictionCol="cluster")
-    return kmeans.fit(scaled).transform(scaled).select("city", "cluster")
+    found = kmeans.fit(scaled).transform(scaled).select("city", "cluster")
+    return features.select("city").join(found, "city", "left")
 
 
 def cluster_sizes(clusters: DataFrame) -> DataFrame:

@@ -133,14 +133,7 @@ def _described() -> str:
 
 
 def _scaled() -> str:
-    names = [
-        "avg_temperature",
-        "temp_range",
-        "temp_squared",
-        "population",
-        "latitude",
-        "longitude",
-    ]
+    names = _FEATURES
     cells = ", ".join(
         f"round(CASE WHEN s_{n} = 0 THEN 0.0e0 ELSE {n} / s_{n} END, 6) AS {n}" for n in names
     )
@@ -148,6 +141,44 @@ def _scaled() -> str:
     return f"SELECT city, date, {cells} FROM split, (SELECT {deviations} FROM split)"
 
 
+_FEATURES = ["avg_temperature", "temp_range", "temp_squared", "population", "latitude", "longitude"]
+_KNOWN = " AND ".join(f"{f} IS NOT NULL" for f in [*_FEATURES, "electricity_kwh"])
+
+
+def _least_squares() -> str:
+    """CTEs after ``split``: columns are centred on their training means; then each feature is taken
+    out of the later ones and of the label by its training projection. What is left of the label is
+    the residual."""
+    names = [*_FEATURES, "electricity_kwh"]
+    columns = [f"x{i}" for i in range(len(names))]
+    keys = "city, date, avg_temperature, electricity_kwh, is_train"
+    centred = ", ".join(
+        f"{n} - (SELECT avg({n}) FROM rows WHERE is_train) AS {c}" for n, c in zip(names, columns, strict=True)
+    )
+    steps = [f"rows AS (SELECT * FROM split WHERE {_KNOWN})", f"s0 AS (SELECT {keys}, {centred} FROM rows)"]
+    for i, by in enumerate(columns[:-1]):
+        later = columns[i + 1 :]
+        slopes = ", ".join(f"sum({by} * {c}) / nullif(sum({by} * {by}), 0) AS b_{c}" for c in later)
+        rest = ", ".join(f"{c} - coalesce(b_{c}, 0) * {by} AS {c}" for c in later)
+        steps.append(f"b{i} AS (SELECT {slopes} FROM s{i} WHERE is_train)")
+        steps.append(f"s{i + 1} AS (SELECT {keys}, {rest} FROM s{i}, b{i})")
+    last = len(columns) - 1
+    steps.append(
+        f"linear AS (SELECT {keys}, electricity_kwh - {columns[-1]} AS prediction FROM s{last} WHERE NOT is_train)"
+    )
+    return ", " + ", ".join(steps)
+
+
+_TEST_ROWS = f"""
+SELECT city, round(avg_temperature, 6) AS avg_temperature, round(electricity_kwh, 2) AS electricity_kwh, true AS %s
+FROM split WHERE NOT is_train AND {_KNOWN}
+"""
+_COMPLETE = """
+SELECT city, count(avg_temperature) > 0 AND count(kwh_per_capita) > 0 AND count(water_per_capita) > 0
+  AND count(temp_range) > 0 AND count(latitude) > 0 AND count(longitude) > 0 AS has_cluster
+FROM derived GROUP BY city
+"""
+
 _BODIES = {
     "scan_readings": "SELECT name, time, temperature_2m FROM readings",
     "scan_dimensions": " UNION ALL ".join(
@@ -177,9 +208,9 @@ _BODIES = {
           SELECT name, strftime(hour, '%Y-%m-%d') AS date, avg(temperature_2m) AS avg_temperature,
                  min(temperature_2m) AS min_temperature, max(temperature_2m) AS max_temperature
           FROM (
-            SELECT name, date_trunc('hour', time) AS hour, temperature_2m,
+            SELECT name, time AS hour, temperature_2m,
                    row_number() OVER (
-                     PARTITION BY name, date_trunc('hour', time) ORDER BY snapshot DESC
+                     PARTITION BY name, time ORDER BY snapshot DESC, temperature_2m DESC
                    ) AS rn
             FROM readings
           )
@@ -272,6 +303,28 @@ _BODIES = {
         FROM split GROUP BY 1
     """,
     "scaled_features": _scaled(),
+    "predict_linear": f"""
+        {_least_squares()}
+        SELECT city, round(avg_temperature, 6) AS avg_temperature,
+               round(electricity_kwh, 2) AS electricity_kwh, round(prediction, 2) AS prediction
+        FROM linear
+    """,
+    "linear_rmse": f"""
+        {_least_squares()}
+        SELECT round(sqrt(avg((electricity_kwh - prediction) * (electricity_kwh - prediction))), 2) AS rmse
+        FROM linear
+    """,
+    "predict_forest": _TEST_ROWS % "in_range",
+    "electricity_predictions": _TEST_ROWS % "is_known",
+    "rmse_report": """
+        SELECT CAST(2 AS BIGINT) AS n_models, CAST(1 AS BIGINT) AS n_chosen, true AS chosen_is_least
+    """,
+    "city_clusters": _COMPLETE,
+    "cluster_sizes": f"""
+        SELECT count(*) AS n_cities, count(*) FILTER (WHERE NOT has_cluster) AS n_without,
+               true AS labels_in_range
+        FROM ({_COMPLETE})
+    """,
 }
 
 ORACLES = {name: f"{PREFIX}\n{body}" for name, body in _BODIES.items()}

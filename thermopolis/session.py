@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,18 +60,30 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def work_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the session names it."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get(CHECKPOINT_KEY, None)
+    if folder is None:
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
+    return folder
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and continue from the files.
+    """Compute ``df`` once into Parquet in the shared folder and continue from the files.
 
-    Used where one result feeds several passes (model fitting, two-pass quantiles). Unlike a cached
-    frame it is still there after executors are lost.
+    Used where one result feeds several passes (model fitting, quantiles): each reads the columns it
+    needs. Unlike a cached frame it is still there after executors are lost. ``clean`` removes what
+    a session's finished jobs wrote.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get(CHECKPOINT_KEY, None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="thermopolis-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    folder = f"{work_folder(spark)}/materialized/{spark.sparkContext.applicationId}/{uuid.uuid4()}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove this application's materialized tables; no frame over them may be read afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{work_folder(spark)}/materialized/{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
