@@ -118,10 +118,9 @@ def test_forest_must_be_strictly_better(spark, linear, forest, chosen):
 
 
 def test_forest_repeats_itself(derived):
-    first, again = (
-        sorted(tuple(r) for r in learning.predict_forest(derived).collect()) for _ in range(2)
-    )
-    assert first == again
+    layouts = (derived, derived.repartition(7, "electricity_kwh"), derived.coalesce(1))
+    first, *others = (sorted(tuple(r) for r in learning.predict_forest(df).collect()) for df in layouts)
+    assert all(other == first for other in others)
 
 
 def test_clusters(spark, derived):

@@ -62,10 +62,18 @@ def _fit_scaler(assembled: DataFrame) -> StandardScalerModel:
     return StandardScaler(inputCol="features", outputCol="scaled_features").fit(assembled)
 
 
+def _same_layout(rows: DataFrame, *key: str) -> DataFrame:
+    """Rows dealt and sorted by ``key``: sampling and initial centres then depend on the number of
+    shuffle partitions, but not on how files or earlier stages laid the rows out."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions, *key).sortWithinPartitions(*key)
+
+
 def regression_rows(derived: DataFrame) -> DataFrame:
     """Materialized, assembled rows with their split; unlabelled rows have nothing to learn from."""
     rows = _assemble(with_split(derived.where(F.col(LABEL).isNotNull())), REGRESSION_FEATURES)
-    return materialize(rows.select("city", "date", "avg_temperature", LABEL, "is_train", "features"))
+    rows = materialize(rows.select("city", "date", "avg_temperature", LABEL, "is_train", "features"))
+    return _same_layout(rows, "city", "date")
 
 
 def scale(rows: DataFrame) -> DataFrame:
@@ -146,9 +154,9 @@ def electricity_predictions(scored: DataFrame) -> DataFrame:
 
 def city_clusters(features: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
     """Cities grouped by k-means over six features. Labels carry no order, and NULL is the label of a
-    city with an unknown feature. Like the forest, the groups may differ between layouts of the rows.
+    city with an unknown feature. Like the forest, the groups depend on the number of partitions.
     """
-    rows = materialize(_assemble(features, CLUSTER_FEATURES).select("city", "features"))
+    rows = _same_layout(materialize(_assemble(features, CLUSTER_FEATURES).select("city", "features")), "city")
     scaled = _fit_scaler(rows).transform(rows)
     kmeans = KMeans(k=k, seed=seed, featuresCol="scaled_features", predictionCol="cluster")
     found = kmeans.fit(scaled).transform(scaled).select("city", "cluster")
