@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 
 import micro
-from thermopolis import session
+from thermopolis import schemas, session
 from thermopolis.plans import analysis, etl, ingest
 from thermopolis.sources import raw, sinks, zones
 
@@ -61,7 +61,7 @@ def test_etl_and_analysis(spark, raw_zone, tmp_path, fmt):
     reports = analysis.run(spark, trusted, refined, 2025, fmt)
     assert {n: df.count() for n, df in reports.items()} == {
         "rmse_report": 2,
-        "cluster_sizes": 4,
+        "cluster_sizes": 5,
         "correlation_matrix": 36,
         "descriptive_stats": 4,
         "kwh_quartiles": 1,
@@ -99,7 +99,38 @@ def test_sizes_grow_with_the_input_and_stay_bounded():
 
 def test_materialized_rows_come_from_the_named_folder(spark):
     folder = spark.sparkContext.getConf().get(session.CHECKPOINT_KEY)
-    df = session.materialize(spark.range(10).selectExpr("id * 2 AS x"))
-    assert spark.sparkContext.getCheckpointDir().startswith(f"file:{folder}")
-    assert "Scan ExistingRDD" in df._jdf.queryExecution().executedPlan().toString()
+    df = session.materialize(spark.range(10).selectExpr("id * 2 AS x", "id AS y"))
+    assert all(f"{folder}/" in name for name in df.inputFiles())
+    assert "ReadSchema: struct<x:bigint>" in df.select("x")._jdf.queryExecution().executedPlan().toString()
     assert df.count() == 10
+
+
+def test_ingest_twice_and_broken_lines(spark, tmp_path):
+    good = {"hourly": {"time": ["2025-05-27T00:00"], "temperature_2m": [1.5]}}
+    odd_time = {"hourly": {"time": ["2025-05-27T00:00", "yesterday"], "temperature_2m": [1.5, 2.5]}}
+    stamp = "2025-05-27T10:00:00Z"
+    lines = [
+        json.dumps({"name": "A", "snapshot": stamp, "payload": json.dumps(good)}),
+        json.dumps({"name": "B", "snapshot": stamp, "payload": json.dumps(odd_time)}),
+        '{"name": "C", "snapshot": "2025',
+        '{"note": "no answer"}',
+    ]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    where = [str(tmp_path / x) for x in ("in", "readings", "quarantine")]
+    for _ in range(2):
+        ingest.ingest_payloads(spark, *where)
+    assert [r["name"] for r in raw.read_stamped_readings(spark, where[1]).collect()] == ["A"]
+    bad = spark.read.parquet(where[2]).collect()
+    assert sorted((r["name"] or "", r["payload"]) for r in bad) == [("", lines[2]), ("", lines[3]), ("B", json.dumps(odd_time))]
+
+
+def test_a_city_leaves_the_unknown_year(spark, raw_zone, tmp_path):
+    tables = {n: spark.read.schema(s).option("header", True).csv(str(raw_zone / "tables" / f"{n}.csv")) for n, s in schemas.DIMENSIONS.items()}
+    for name, df in tables.items():
+        sinks.write_dimension(df.limit(0) if name == "city_consumption" else df, str(tmp_path / "first"), name)
+    out = str(tmp_path / "trusted")
+    for dimensions in (tmp_path / "first", raw_zone / "tables"):
+        etl.run(spark, str(raw_zone / "readings"), str(dimensions), out, stamped=True)
+    years = {r["year"] for r in zones.read_trusted(spark, out).where("city = 'City 3'").collect()}
+    assert years == {2025}

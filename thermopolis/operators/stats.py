@@ -19,7 +19,6 @@ CORRELATED = [
 ]
 DESCRIBED = ["avg_temperature", "electricity_kwh", "kwh_per_capita", "temp_range"]
 QUARTILES = {"q1": 0.25, "q3": 0.75}
-SLOTS = 1_000
 
 
 def correlation_matrix(derived: DataFrame, columns: list[str] = CORRELATED) -> DataFrame:
@@ -75,86 +74,72 @@ def approx_quantiles(
     return found.select(*[F.col("found")[i].alias(name) for i, name in enumerate(probs)])
 
 
-def _slot(value: Column, low: Column, high: Column) -> Column:
-    """0 below the bracket, then 1 to ``SLOTS`` rising with the value inside it."""
-    share = (value - low) / F.nullif(high - low, F.lit(0.0))
-    inside = F.least(F.lit(SLOTS), F.floor(F.coalesce(share, F.lit(0.0)) * SLOTS) + 1)
-    return F.when(value < low, 0).otherwise(inside).cast("int")
-
-
 def exact_quantiles(
-    df: DataFrame, column: str, probs: dict[str, float] = QUARTILES, accuracy: int = 10_000
+    df: DataFrame, column: str, probs: dict[str, float] = QUARTILES, accuracy: int = 1_000
 ) -> DataFrame:
     """One row of exact quantiles: the value at rank ``greatest(1, ceil(p * n))``.
 
     Reads the column three times, so hand in something cheap to read again. A small sketch brackets
-    each quantile; a histogram of the bracket finds the slot its rank falls into; only the values of
-    that slot are counted one by one. Every step combines on the map side, and what meets in one task
-    is at most ``SLOTS`` counts, then the distinct values of one slot: for a smooth distribution some
-    ``4 / accuracy / SLOTS`` of the rows. Slots only save work; ranks are exact whatever they hold.
+    each quantile. A second sketch over the rows of each bracket cuts it into pieces of equal depth
+    and counts what lies below; the rank falls into one of few neighbouring pieces. Only the distinct
+    values between those are counted one by one. Depth is a share of the rows, so what meets in one
+    task is ``8 / accuracy ** 2`` of them for any distribution, and equal values count as one. A
+    quantile outside of what its step has kept is an error, not a result.
     """
-    margin = 2.0 / accuracy
-    edges = [
-        edge
-        for p in probs.values()
-        for edge in (max(0.0, p - margin), min(1.0, p + margin))
-    ]
+    reach = 2.0 / accuracy
+    edges = [e for p in probs.values() for e in (max(0.0, p - reach), min(1.0, p + reach))]
     known = df.select(F.col(column).alias("value")).where(F.col("value").isNotNull())
-    sketch = known.agg(
-        F.percentile_approx("value", edges, accuracy).alias("edge"), F.count("*").alias("n")
-    )
+
+    def bracket(name, p, low, high):
+        target = F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("n")))
+        return F.struct(F.lit(name).alias("prob"), low.alias("low"), high.alias("high"), target.alias("target"))
+
+    sketch = known.agg(F.percentile_approx("value", edges, accuracy).alias("edge"), F.count("*").alias("n"))
     brackets = sketch.select(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(name).alias("prob"),
-                    F.col("edge")[2 * i].alias("low"),
-                    F.col("edge")[2 * i + 1].alias("high"),
-                    F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("n"))).alias("target"),
-                )
-                for i, (name, p) in enumerate(probs.items())
-            ]
-        )
+        F.array(*[bracket(name, p, F.col("edge")[2 * i], F.col("edge")[2 * i + 1]) for i, (name, p) in enumerate(probs.items())])
     ).scalar()
-    slot = _slot(F.col("value"), F.col("low"), F.col("high"))
-
-    def running(order):
-        return F.sum("weight").over(
-            Window.partitionBy("prob").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        )
 
-    histogram = (
+    grid = [i / accuracy for i in range(accuracy + 1)]
+    inside = F.col("value") >= F.col("low")
+    pieces = (
         known.select("value", F.inline(brackets))
         .where(F.col("value") <= F.col("high"))
-        .groupBy("prob", "low", "high", "target", slot.alias("slot"))
-        .agg(F.count("*").alias("weight"))
-        .withColumn("rank", running("slot"))
-        .withColumn("left", F.col("target") - (F.col("rank") - F.col("weight")))
-        .where((F.col("rank") >= F.col("target")) & (F.col("left") > 0))
-    )
-    missed = F.raise_error(F.lit("quantile below its bracket")).cast("int")
-    chosen = histogram.agg(
-        F.collect_list(
-            F.struct(
-                "prob",
-                "low",
-                "high",
-                "left",
-                F.when(F.col("slot") == 0, missed).otherwise(F.col("slot")).alias("slot"),
-            )
+        .groupBy("prob", "low", "high", "target")
+        .agg(
+            F.count_if(~inside).alias("below"),
+            F.count_if(inside).alias("n"),
+            F.percentile_approx(F.when(inside, F.col("value")), grid, 4 * accuracy).alias("cut"),
         )
+    )
+    share = (F.col("target") - F.col("below")) / F.col("n")
+    missed = F.raise_error(F.lit("quantile outside of its bracket")).cast("double")
+
+    def cut(step):
+        place = F.least(F.greatest(F.floor(share * accuracy).cast("int") + step, F.lit(0)), F.lit(accuracy))
+        return F.when((share > 0) & (share <= 1), F.element_at("cut", place + 1)).otherwise(missed)
+
+    chosen = pieces.agg(
+        F.collect_list(F.struct("prob", "target", cut(-3).alias("low"), cut(4).alias("high")))
     ).scalar()
+    running = Window.partitionBy("prob").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     reached = (
         known.select("value", F.inline(chosen))
-        .where((F.col("value") <= F.col("high")) & (slot == F.col("slot")))
-        .groupBy("prob", "left", "value")
-        .agg(F.count("*").alias("weight"))
-        .withColumn("rank", running("value"))
-        .where(F.col("rank") >= F.col("left"))
+        .where(F.col("value") <= F.col("high"))
+        .groupBy("prob", "target", "low", F.greatest("value", "low").alias("value"))
+        .agg(F.count("*").alias("weight"), F.count_if(F.col("value") < F.col("low")).alias("below"))
+        .withColumn("rank", F.sum("weight").over(running))
+        .where(F.col("rank") >= F.col("target"))
+    )
+    found = reached.groupBy("prob").agg(
+        F.min(F.struct("value", (F.col("below") >= F.col("target")).alias("under"))).alias("first")
     )
-    return reached.agg(
-        *[F.min(F.when(F.col("prob") == name, F.col("value"))).alias(name) for name in probs]
+    value = F.when(F.col("first.under"), missed).otherwise(F.col("first.value"))
+    row = found.agg(
+        F.count("*").alias("n_found"),
+        *[F.min(F.when(F.col("prob") == name, value)).alias(name) for name in probs],
     )
+    complete = F.col("n_found").isin(0, len(probs))  # none: no known value
+    return row.select(*[F.when(complete, F.col(name)).otherwise(missed).alias(name) for name in probs])
 
 
 def iqr_fences(quartiles: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from thermopolis.operators import learning, metrics, serving, stats
-from thermopolis.session import build_session, materialize
+from thermopolis.session import build_session, clean, materialize
 from thermopolis.sources import sinks, zones
 
 
@@ -47,7 +47,7 @@ def run(
     )
     sinks.write_mart(learning.electricity_predictions(scored), output, "electricity_predictions", fmt)
 
-    quartiles = stats.approx_quantiles(derived, "kwh_per_capita")
+    quartiles = stats.exact_quantiles(derived, "kwh_per_capita")
     outliers = stats.outliers(derived, "kwh_per_capita", stats.iqr_fences(quartiles))
     clusters = learning.city_clusters(metrics.city_features(derived), seed=seed)
     return {
@@ -73,6 +73,7 @@ def main() -> None:
     for name, report in reports.items():
         print(name)
         report.show(50, truncate=False)
+    clean(spark)
     spark.stop()
 
 

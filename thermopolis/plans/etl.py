@@ -14,7 +14,7 @@ from thermopolis.operators.daily import daily_weather
 from thermopolis.operators.integrate import city_info, trusted
 from thermopolis.operators.quality import stage_counts
 from thermopolis.session import build_session
-from thermopolis.sources import raw, sinks
+from thermopolis.sources import raw, sinks, zones
 
 
 def read_inputs(
@@ -36,10 +36,15 @@ def run(
     output: str,
     fmt: str = "parquet",
     dedupe: str = "none",
-    static: bool = False,
+    static: bool = True,
     stamped: bool = False,
 ) -> int:
-    """Write the trusted zone and return its rows."""
+    """Write the trusted zone and return its rows.
+
+    The job computes all years from all readings, so it replaces the whole zone: a city whose year
+    was unknown in an earlier run does not stay behind in the folder of the unknown year. With
+    ``static`` off only the years present are replaced.
+    """
     hours, info = read_inputs(spark, readings, dimensions, stamped)
     return sinks.write_trusted(trusted(daily_weather(hours, dedupe), info), output, fmt, static)
 
@@ -51,7 +56,8 @@ def main() -> None:
     parser.add_argument("--output", required=True)
     parser.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     parser.add_argument("--dedupe", default="none", choices=["none", "latest"])
-    parser.add_argument("--static", action="store_true", help="replace every year")
+    parser.add_argument("--keep-other-years", action="store_true", help="replace only the years present")
+    parser.add_argument("--table", help="register the zone as this catalog table")
     parser.add_argument("--stamped", action="store_true", help="readings written by the ingest job")
     parser.add_argument("--audit", action="store_true", help="print rows per stage")
     parser.add_argument("--input-bytes", type=int, help="raw size, to choose shuffle partitions")
@@ -64,9 +70,11 @@ def main() -> None:
         args.output,
         args.format,
         args.dedupe,
-        args.static,
+        not args.keep_other_years,
         args.stamped,
     )
+    if args.table:
+        zones.register_trusted(spark, args.table, args.output, args.format)
     print(f"{rows} trusted rows in {args.output}")
     if args.audit:
         stage_counts(*read_inputs(spark, args.readings, args.dimensions, args.stamped)).show()

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,15 +128,20 @@ def snapshot_tables(
 
 
 def read_collected(spark: SparkSession, path: str) -> DataFrame:
-    """Service answers as collected: city, fetch instant and the whole text, one JSON object a line."""
-    return spark.read.schema(schemas.COLLECTED).json(path)
+    """Service answers as collected: city, fetch instant and the whole text, one JSON object a line.
+
+    A line without an answer in it, broken or not, is its own payload, so that quarantine has its text.
+    """
+    lines = spark.read.text(path).withColumn("line", F.from_json("value", schemas.COLLECTED))
+    return lines.select("line.name", "line.snapshot", F.coalesce("line.payload", "value").alias("payload"))
 
 
 def parse_payloads(payloads: DataFrame) -> DataFrame:
     """Adds ``hourly`` and ``is_good`` to rows with a JSON ``payload``.
 
-    A payload is good if it is whole JSON and has both arrays. Valid JSON that lacks them leaves the
-    corrupt column NULL, and a cut text may still parse in part, so both are checked.
+    A payload is good if it is whole JSON and has both arrays, every time in them can be read, and its
+    city and fetch instant are known, where there are columns for them. Valid JSON without the arrays
+    leaves the corrupt column NULL, and a cut text may still parse in part, so both are checked.
     """
     schema = StructType(schemas.PAYLOAD.fields + [StructField(CORRUPT, StringType(), True)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -145,13 +152,16 @@ def parse_payloads(payloads: DataFrame) -> DataFrame:
             answer[CORRUPT].isNull()
             & answer["hourly"]["time"].isNotNull()
             & answer["hourly"]["temperature_2m"].isNotNull()
+            & F.forall(answer["hourly"]["time"], lambda t: F.try_to_timestamp(t, F.lit(PAYLOAD_TIME)).isNotNull())
         )
 
+    known = reduce(and_, [F.col(c).isNotNull() for c in ("name", "snapshot") if c in payloads.columns], F.lit(True))
+
     # ``exists`` names the parsed answer once. Written as three conditions on the column, a filter on
     # ``is_good`` would be pushed below the projection and parse every text three times.
     return (
         payloads.withColumn("parsed", parsed)
-        .withColumn("is_good", F.exists(F.array("parsed"), whole))
+        .withColumn("is_good", F.coalesce(F.exists(F.array("parsed"), whole), F.lit(False)) & known)
         .withColumn("hourly", F.col("parsed.hourly"))
         .drop("parsed")
     )

@@ -13,15 +13,30 @@ class EmptyOutputError(ValueError):
 
 
 def append_readings(readings: DataFrame, path: str) -> None:
-    """Add stamped readings to the raw zone, one folder per fetch day, in files of even size."""
-    (
-        schemas.require_columns(readings, schemas.STAMPED_READINGS, "readings")
-        .select(*schemas.STAMPED_READINGS.names, F.to_date("snapshot").alias("snapshot_date"))
-        .hint("rebalance", "snapshot_date")
-        .write.mode("append")
-        .partitionBy("snapshot_date")
-        .parquet(path)
-    )
+    """Add stamped readings to the raw zone, one folder per fetch day, in files of even size.
+
+    What a city's fetch has stored already is left out, so a job that runs again adds nothing twice.
+    """
+    rows = schemas.require_columns(readings, schemas.STAMPED_READINGS, "readings")
+    rows = rows.select(*schemas.STAMPED_READINGS.names, F.to_date("snapshot").alias("snapshot_date"))
+    rows = _not_stored(rows, path, ["snapshot_date", "name", "snapshot"])
+    rows.hint("rebalance", "snapshot_date").write.mode("append").partitionBy("snapshot_date").parquet(path)
+
+
+def append_quarantine(bad: DataFrame, path: str) -> None:
+    """Add answers to look at by hand, unless the same text of the same fetch is there."""
+    _not_stored(bad, path, bad.columns).write.mode("append").parquet(path)
+
+
+def _not_stored(rows: DataFrame, path: str, key: list[str]) -> DataFrame:
+    """Rows whose key, NULLs included, is not in the Parquet folder yet; all if there is no folder."""
+    spark = rows.sparkSession
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return rows
+    stored = spark.read.schema(rows.schema).parquet(path).select(*[F.col(c).alias(f"stored_{c}") for c in key]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in key]
+    return rows.join(stored, same, "left_anti")
 
 
 def write_dimension(df: DataFrame, base: str, table: str) -> None:

@@ -60,5 +60,6 @@ def register_trusted(spark: SparkSession, table: str, path: str, fmt: str = "par
         f"PARTITIONED BY (year) LOCATION '{location}'",
         args={"table": table},
     )
-    spark.catalog.recoverPartitions(table)
+    # Partitions that an overwrite has removed leave the catalog too.
+    spark.sql("MSCK REPAIR TABLE IDENTIFIER(:table) SYNC PARTITIONS", args={"table": table})
     return spark.table(table)
