@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermopolis.llm.common import pieces
+from thermopolis.llm.common import lean, pieces
 
 LENGTH = 100
 #: Bytes behind a window's minimum: that many equal bytes are needed to look at a window at all.
@@ -35,7 +35,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
     Every window of ``length`` bytes has a minimum, the least hash of its 32-byte parts. Equal windows
     have equal minima, and neighbouring windows mostly share theirs, so a text falls into runs of
     windows with one minimum, some 36 long. 1. Texts equal as a whole are one unit; the later copies go
-    whole. 2. Runs are shuffled as (minimum, unit): only minima that occur twice matter. 3. Their
+    whole. 2. Runs are shuffled as (minimum, hash of the text): only minima that occur twice matter. 3. Their
     contexts, the bytes of all windows of the run, are shuffled by minimum. There a suffix array over
     the contexts, as deep as a window, gives the longest previous factor of each window: in suffix
     order, its previous or next smaller position shares ``length`` bytes with it just when it has an
@@ -49,36 +49,38 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
     of the text, rows with a NULL id come after all others; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("unit", F.md5("text"))
-    # Equal texts are combined before the shuffle. The steps below read these columns alike, so that
-    # the one exchange of the texts serves them all.
-    units = rows.groupBy("unit").agg(F.min("id").alias("owner"), F.any_value("text").alias("text"))
+    # Two halves of a strong hash name a text in all narrow rows, so that every step below joins on
+    # what the texts are grouped by and the one exchange of the texts serves all.
+    # They are declared not NULL, else inner and outer joins would filter the scan differently.
+    halves = [F.coalesce(F.conv(F.substring(F.md5("text"), at, 16), 16, -10).cast("long"), F.lit(0)) for at in (1, 17)]
+    rows = rows.select("id", "text", halves[0].alias("u1"), halves[1].alias("u2"))
+    unit = ["u1", "u2"]
+    # Equal texts are combined before the shuffle.
+    units = rows.groupBy(*unit).agg(F.min("id").alias("owner"), F.any_value("text").alias("text"))
     order = F.coalesce(F.col("owner").cast("long"), F.lit((1 << 63) - 1))
-    units = units.select(order.alias("id"), F.xxhash64("unit").alias("key"), "unit", "text")
+    units = units.select(order.alias("id"), "u1", "u2", "text")
 
-    seen = units.mapInArrow(lambda b: _minima(b, length), "minimum long, key long, known int")
+    seen = units.mapInArrow(lean(lambda b: _minima(b, length)), "minimum long, u1 long, u2 long, known int")
     # Rows that are known to repeat need no comparison and are spread; the others meet by minimum.
-    place = F.when(F.col("known") == 2, F.xxhash64("key", "minimum")).otherwise(F.col("minimum"))
-    repeated = seen.repartition(place).sortWithinPartitions("minimum").mapInArrow(_repeated, "minimum long, key long")
-    wanted = repeated.groupBy("key").agg(F.collect_set("minimum").alias("minima"))
+    place = F.when(F.col("known") == 2, F.xxhash64("u1", "minimum")).otherwise(F.col("minimum"))
+    repeated = seen.repartition(place).sortWithinPartitions("minimum").mapInArrow(_repeated, "minimum long, u1 long, u2 long")
+    wanted = repeated.groupBy(*unit).agg(F.collect_set("minimum").alias("minima"))
 
-    contexts = units.join(wanted, "key").select("id", "key", "text", "minima")
-    contexts = contexts.mapInArrow(
-        lambda b: _contexts(b, length), "minimum long, id long, key long, start int, windows int, bytes binary, later int"
+    contexts = units.join(wanted, unit).select("id", "u1", "u2", "text", "minima")
+    contexts = contexts.mapInArrow(lean(lambda b: _contexts(b, length)), "minimum long, id long, u1 long, u2 long, start int, windows int, bytes binary, later int"
     )
-    place = F.when(F.col("later") == 1, F.xxhash64("key", "start")).otherwise(F.col("minimum"))
-    contexts = contexts.repartition(place).sortWithinPartitions("minimum", "id", "key", "start")
-    ranges = contexts.mapInArrow(lambda b: _factors(b, length), "key long, start int, windows int")
-    spans = ranges.groupBy("key").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
-
-    schema = "unit string, id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts
-    cut = units.join(spans, "key", "left").select("unit", "id", "text", "spans").mapInArrow(lambda b: _cut(b, length, texts), schema)
-    cut = cut.withColumnRenamed("id", "owner")
+    place = F.when(F.col("later") == 1, F.xxhash64("u1", "start")).otherwise(F.col("minimum"))
+    contexts = contexts.repartition(place).sortWithinPartitions("minimum", "id", *unit, "start")
+    ranges = contexts.mapInArrow(lean(lambda b: _factors(b, length)), "u1 long, u2 long, start int, windows int")
+    spans = ranges.groupBy(*unit).agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
+
+    schema = "u1 long, u2 long, owner long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts
+    cut = units.join(spans, unit, "left").select("u1", "u2", "id", "text", "spans").mapInArrow(lean(lambda b: _cut(b, length, texts)), schema)
     mine = F.coalesce(F.col("id").cast("long"), F.lit((1 << 63) - 1)) == F.col("owner")
     stays = mine | (F.col("n_bytes") < length)
     return (
-        rows.select("id", "unit")
-        .join(cut, "unit")
+        rows.select("id", "u1", "u2")
+        .join(cut, unit)
         .select(
             F.col("id").alias(id_col),
             "n_bytes",
@@ -153,18 +155,20 @@ def _runs_of(batch: pa.RecordBatch, column: int, length: int):
 
 
 def _minima(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(minimum, key, known) of each run. known: 0 for a minimum that the batch has once, else 1 for
+    """(minimum, unit, known) of each run. known: 0 for a minimum that the batch has once, else 1 for
     one row of it and 2 for the others, and for a run that may repeat itself."""
     for batch in pieces(batches, 3, PIECE):
         row, _, _, minimum, twice, _, _ = _runs_of(batch, 3, length)
         if len(row):
             _, first, inverse, times = np.unique(minimum, return_index=True, return_inverse=True, return_counts=True)
-            known = np.where(times[inverse] > 1, 2, 0).astype(np.int32)
-            known[twice] = 2
+            known = np.where((times[inverse] > 1) | twice, 2, 0).astype(np.int32)
             known[first[(times > 1) | twice[first]]] = 1
-            keys = batch.column(1).to_numpy()[row]
-            _, once = np.unique(np.stack([minimum, keys, known], axis=1), axis=0, return_index=True) if (known == 2).any() else (None, slice(None))
-            yield pa.RecordBatch.from_arrays([pa.array(minimum[once]), pa.array(keys[once]), pa.array(known[once])], ["minimum", "key", "known"])
+            # Of the others a text needs each minimum once.
+            others = np.flatnonzero(known == 2)
+            _, once = np.unique(np.stack([minimum[others], row[others]], axis=1), axis=0, return_index=True)
+            at = np.concatenate([np.flatnonzero(known < 2), others[once]])
+            u1, u2 = (batch.column(i).to_numpy()[row[at]] for i in (1, 2))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, (minimum[at], u1, u2, known[at]))], ["minimum", "u1", "u2", "known"])
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,17 +178,17 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
         minimum = rows.column(0).to_numpy()
         equal = minimum[1:] == minimum[:-1]
-        out = rows.column(2).to_numpy() > 0
+        out = rows.column(3).to_numpy() > 0
         out[1:] |= equal
         out[:-1] |= equal
         last = rows.num_rows - 1
         # The last row waits for its successor, with the mark that it has met its equal.
         held = rows.slice(last)
         if out[last]:
-            held = pa.RecordBatch.from_arrays([held.column(0), held.column(1), pa.array([1], pa.int32())], held.schema.names)
-        yield rows.slice(0, last).filter(pa.array(out[:last])).select([0, 1])
-    if held is not None and held.column(2)[0].as_py() > 0:
-        yield held.select([0, 1])
+            held = held.set_column(3, "known", pa.array([1], pa.int32()))
+        yield rows.slice(0, last).filter(pa.array(out[:last])).select([0, 1, 2])
+    if held is not None and held.column(3)[0].as_py() > 0:
+        yield held.select([0, 1, 2])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -193,24 +197,25 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
     A run whose bytes the task has met before, earlier in the order of the texts, is marked ``later``
     and carries none: all its windows are repeats.
     """
-    names = ["minimum", "id", "key", "start", "windows", "bytes", "later"]
-    known: dict[bytes, tuple[int, int, int]] = {}
-    for batch in pieces(batches, 2, PIECE):
-        row, start, size, minimum, _, data, offsets = _runs_of(batch, 2, length)
-        bounds = batch.column(3).offsets.to_numpy()
-        wanted = batch.column(3).flatten().to_numpy()
+    names = ["minimum", "id", "u1", "u2", "start", "windows", "bytes", "later"]
+    known: dict[bytes, tuple[int, ...]] = {}
+    for batch in pieces(batches, 3, PIECE):
+        row, start, size, minimum, _, data, offsets = _runs_of(batch, 3, length)
+        bounds = batch.column(4).offsets.to_numpy()
+        wanted = batch.column(4).flatten().to_numpy()
         if not len(row) or not len(wanted):
             continue
         # Two rows' minima may mix here by chance: that only adds runs that need not be looked at.
         mixed = wanted ^ (np.repeat(np.arange(batch.num_rows), np.diff(bounds)) << 40)
         at = np.flatnonzero(np.isin(minimum ^ (row << 40), mixed))
-        ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        at = at[np.lexsort((start[at], keys[row[at]], ids[row[at]]))]
-        ids, keys, start, size = ids[row[at]], keys[row[at]], start[at], size[at]
+        ids, u1, u2 = (batch.column(i).to_numpy()[row] for i in range(3))
+        at = at[np.lexsort((start[at], u2[at], u1[at], ids[at]))]
+        begin = (offsets[row[at]] + start[at]).tolist()
+        minimum, ids, u1, u2, start, size = (x[at] for x in (minimum, ids, u1, u2, start, size))
         if len(known) > MEMO_ROWS:
             known.clear()
         text, content, later = data.tobytes(), [], []
-        for a, n, *place in zip((offsets[row[at]] + start).tolist(), size.tolist(), ids.tolist(), keys.tolist(), start.tolist(), strict=True):
+        for a, n, *place in zip(begin, *(x.tolist() for x in (size, ids, u1, u2, start)), strict=True):
             part = text[a : a + n + length - 1]
             before = known.get(part)
             place = tuple(place)
@@ -220,7 +225,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
             else:
                 content.append(part)
                 known[part] = place
-        arrays = [minimum[at], ids, keys, start.astype(np.int32), size.astype(np.int32)]
+        arrays = [minimum, ids, u1, u2, start.astype(np.int32), size.astype(np.int32)]
         yield pa.RecordBatch.from_arrays([*map(pa.array, arrays), pa.array(content, pa.binary()), pa.array(later).cast(pa.int32())], names)
 
 
@@ -298,7 +303,7 @@ def has_previous(order: np.ndarray, rank: np.ndarray) -> np.ndarray:
 
 
 def _factors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(key, start, windows) of the ranges of windows with an earlier copy.
+    """(unit, start, windows) of the ranges of windows with an earlier copy.
 
     Rows come sorted by minimum and then in the order of the texts, so positions in the joined
     contexts are in that order as well. Whole minima are sorted together until enough bytes are there.
@@ -307,38 +312,35 @@ def _factors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
     held_bytes = 0
 
     def solve(rows: pa.RecordBatch) -> pa.RecordBatch:
-        later = rows.column(6).to_numpy() > 0
-        starts, sizes = rows.column(3).to_numpy(), rows.column(4).to_numpy()
-        keys = rows.column(2).to_numpy()
-        out = [keys[later], starts[later], sizes[later]]
+        later = rows.column(7).to_numpy() > 0
+        out = [rows.column(i).to_numpy()[later] for i in (2, 3, 4, 5)]
         have = rows.filter(pa.array(~later))
-        starts, sizes, keys = starts[~later], sizes[~later].astype(np.int64), keys[~later]
-        if len(keys):
-            data, offsets = _texts(have.column(5))
+        u1, u2, starts, sizes = (have.column(i).to_numpy() for i in (2, 3, 4, 5))
+        if have.num_rows:
+            data, offsets = _texts(have.column(6))
             # A separator of its own behind each context: no suffix goes on beyond it.
-            symbols = np.insert(data.astype(np.int64), offsets[1:], np.arange(len(keys)) + 256)
-            begin = offsets[:-1] + np.arange(len(keys))
-            order, rank = suffix_array(symbols, length)
-            again = has_previous(order, rank)
+            symbols = np.insert(data.astype(np.int64), offsets[1:], np.arange(have.num_rows) + 256)
+            begin = offsets[:-1] + np.arange(have.num_rows)
+            again = has_previous(*suffix_array(symbols, length))
             # Windows only: the other positions reach over a separator.
+            sizes = sizes.astype(np.int64)
             place = np.repeat(begin, sizes) + (np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes))
-            context = np.repeat(np.arange(len(keys)), sizes)
+            context = np.repeat(np.arange(have.num_rows), sizes)
             hit = np.flatnonzero(again[place])
             if len(hit):
                 new = np.ones(len(hit), bool)
                 new[1:] = (np.diff(hit) != 1) | (context[hit[1:]] != context[hit[:-1]])
                 first = np.flatnonzero(new)
                 c = context[hit[first]]
-                inner = place[hit[first]] - begin[c]
-                n = np.diff(np.append(first, len(hit)))
-                out = [np.concatenate([out[0], keys[c]]), np.concatenate([out[1], starts[c] + inner]), np.concatenate([out[2], n])]
-        kinds = [pa.int64(), pa.int32(), pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["key", "start", "windows"])
+                found = [u1[c], u2[c], starts[c] + place[hit[first]] - begin[c], np.diff(np.append(first, len(hit)))]
+                out = [np.concatenate(x) for x in zip(out, found, strict=True)]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["u1", "u2", "start", "windows"])
 
     def whole(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
-    for batch in pieces(batches, 5, SORT_BYTES):
+    for batch in pieces(batches, 6, SORT_BYTES):
         held.append(batch)
         held_bytes += batch.nbytes
         if held_bytes >= SORT_BYTES:
@@ -355,13 +357,13 @@ def _factors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 
 def _cut(batches: Iterator[pa.RecordBatch], length: int, texts: bool) -> Iterator[pa.RecordBatch]:
     """Unite the ranges of each text and cut them."""
-    names = ["unit", "id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * texts
-    for batch in pieces(batches, 2, PIECE):
-        ranges, bounds = batch.column(3).flatten(), batch.column(3).offsets.to_numpy()
+    names = ["u1", "u2", "owner", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * texts
+    for batch in pieces(batches, 3, PIECE):
+        ranges, bounds = batch.column(4).flatten(), batch.column(4).offsets.to_numpy()
         bounds = bounds - bounds[0]
         begin, size = (ranges.field(i).to_numpy().astype(np.int64) for i in range(2))
         out: list[list] = [[], [], [], [], []]
-        for row, text in enumerate(batch.column(2).cast(pa.large_binary()).to_pylist()):
+        for row, text in enumerate(batch.column(3).cast(pa.large_binary()).to_pylist()):
             a, n = begin[bounds[row] : bounds[row + 1]], size[bounds[row] : bounds[row + 1]]
             order = np.argsort(a)
             a, b = a[order], np.maximum.accumulate((a + n + length - 1)[order])
@@ -373,4 +375,4 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, texts: bool) -> Iterato
                 column.append(value)
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         arrays = [pa.array(x, k) for x, k in zip(out, kinds, strict=True)][: 5 if texts else 4]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], names)
