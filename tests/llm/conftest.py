@@ -1,0 +1,49 @@
+import duckdb
+import pytest
+
+TABLES = ["documents", "embeddings", "pages", "benchmark", "labels"]
+
+
+@pytest.fixture(scope="session")
+def con(sf_dir):
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return connection
+
+
+@pytest.fixture(scope="session")
+def documents(con):
+    return dict(con.execute("SELECT doc_id, text FROM documents").fetchall())
+
+
+#: A document table with the cases every operator must take: NULL in each column, empty and blank
+#: texts, repeated rows, ties, a very long text and columns that clash with the operators' own names.
+ODD = [
+    (0, None, "a"),
+    (1, "", "a"),
+    (2, " \t\n ", None),
+    (3, "the same words stand here more than once and again in full", "a"),
+    (4, "the same words stand here more than once and again in full", "b"),
+    (4, "the same words stand here more than once and again in full", "b"),
+    (None, "the same words stand here more than once and again in full", None),
+    (None, None, None),
+    (5, "Über naïve façade — 中文 😀 <|endoftext|> don't", "a"),
+    (6, "word " * 30_000, "a"),
+    (7, "x" * 70_000, "a"),
+]
+ODD_SCHEMA = "doc_id long, text string, source string"
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    from pyspark.sql import functions as F
+
+    frame = spark.createDataFrame(ODD, ODD_SCHEMA).repartition(3)
+    clash = ["id", "key", "n_tokens", "score", "fingerprint", "hash", "unit", "host", "label", "lines"]
+    return frame.select("*", *[F.lit("clash").alias(c) for c in clash])
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], ODD_SCHEMA)
