@@ -14,7 +14,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermopolis.llm.common import materialize, pieces, put_file, scratch
+from thermopolis.llm.common import lean, materialize, pieces, put_file, scratch
 from thermopolis.llm.tokens import load
 from thermopolis.llm.words import MEMO_ROWS, Merger, make_room, runs_of, splitter, worker_memo
 
@@ -25,6 +25,7 @@ LEXICON_COUNT = 3
 #: Longer words are left to the merges, which bounds the transducer's size.
 LEXICON_BYTES = 64
 PIECE = 4 << 20
+WORD_MEMO_ROWS = 150_000
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -54,7 +55,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         if seen:
             yield flush()
 
-    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word string, n long")
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(lean(run), "word string, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -201,7 +202,7 @@ def encode_decode(
 
         def learn(runs: set[bytes]) -> None:
             make_room(memo, len(runs))
-            make_room(word_memo, len(runs))
+            make_room(word_memo, len(runs), WORD_MEMO_ROWS)
             for run in runs:
                 if run not in memo:
                     text = run.decode()
@@ -228,7 +229,7 @@ def encode_decode(
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], NAMES[: len(arrays) + 1])
 
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * full
-    return docs.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return docs.mapInArrow(lean(run), schema).withColumnRenamed("id", id_col)
 
 
 NAMES = ["id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,6 +53,24 @@ def put_file(spark, path: str, content: bytes) -> str:
     return jvm.org.apache.hadoop.fs.Path(path).getName()
 
 
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def lean(step: Step) -> Step:
+    """``step`` for mapInArrow, after which the Python worker gives its freed memory back.
+
+    Workers outlive their tasks; what they keep adds to the next stage's memory.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from step(batches)
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return run
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of one string column, a longer row alone."""
     for batch in batches:

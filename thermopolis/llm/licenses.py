@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermopolis.llm.common import pieces
+from thermopolis.llm.common import lean, pieces
 from thermopolis.llm.words import make_room
 
 # The public wording of notices, beside the name of the license they state.
@@ -222,4 +222,4 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
                 names = ["id", "license", "line", "reduction", "wording", "missing", "added"]
                 yield pa.RecordBatch.from_arrays([ids, *[pa.array(x, k) for x, k in zip(rows[1:], kinds, strict=True)]], names)
 
-    return docs.mapInArrow(run, f"id {kind}, {FOUND}").withColumnRenamed("id", id_col)
+    return docs.mapInArrow(lean(run), f"id {kind}, {FOUND}").withColumnRenamed("id", id_col)

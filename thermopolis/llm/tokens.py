@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermopolis.llm.common import pieces
+from thermopolis.llm.common import lean, pieces
 from thermopolis.llm.words import MEMO_ROWS, splitter, worker_memo
 
 #: Documents with more characters are encoded in chunks of so many.
@@ -82,7 +82,7 @@ def count_tokens(
             columns = [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "n_bytes", "n_tokens"])
 
-    counted = docs.mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long")
+    counted = docs.mapInArrow(lean(run), f"id {kind}, n_bytes long, n_tokens long")
     return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
 
 

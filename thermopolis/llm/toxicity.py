@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermopolis.llm.common import materialize, pieces
+from thermopolis.llm.common import lean, materialize, pieces
 from thermopolis.llm.words import make_room
 
 #: The bounded sample of labelled rows: about so many documents, chosen by a hash of their id.
@@ -31,6 +31,7 @@ BLOCK = 64
 PRIOR = 0.5
 EVIDENCE = 3
 PIECE = 4 << 20
+MEMO_ROWS = 150_000
 EVIDENCE_TYPE = "array<struct<example_id:long,cosine:double,toxic_share:double>>"
 
 WORD = re.compile(r"\w+")
@@ -53,7 +54,7 @@ class Vectorizer:
         found: Counter[int] = Counter()
         runs, memo, number = (text or b"").split(), self.memo, self.number
         new = set(runs).difference(memo)
-        make_room(memo, len(new))
+        make_room(memo, len(new), MEMO_ROWS)
         for run in new:
             memo[run] = tuple(number[t] for t in terms_of(run.decode()) if t in number)
         get = memo.get
@@ -167,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
         .groupBy("text")
         .agg(F.min("doc_id").alias("name"), F.count(F.lit(1)).alias("rows"), F.sum("toxic").alias("toxic"))
     )
-    counts = materialize(examples.select("text", "rows", "toxic").mapInArrow(_term_counts, "term string, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")))
+    counts = materialize(examples.select("text", "rows", "toxic").mapInArrow(lean(_term_counts), "term string, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")))
     total = counts.where("term = ''").select("n", "toxic").first()
     if total is None or not total.toxic:
         return [], Index([(None, {}, total.n if total else 0, 0)], np.zeros(0))
@@ -190,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
         seen[-1] = rows
         yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.int64()), pa.array(seen.values(), pa.int64())], ["term", "n"])
 
-    df = texts.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    df = texts.select("text").mapInArrow(lean(frequencies), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     df = {r.term: r.n for r in df.collect()}  # max_terms rows and one
     idf = np.array([math.log((1 + df[-1]) / (1 + df.get(i, 0))) + 1 for i in range(len(terms))])
 
@@ -257,7 +258,7 @@ def score(
                 ["doc_id", "score", "predicted", "evidence"],
             )
 
-    scored = docs.mapInArrow(run, f"doc_id {kind}, score double, predicted int, evidence {EVIDENCE_TYPE}")
+    scored = docs.mapInArrow(lean(run), f"doc_id {kind}, score double, predicted int, evidence {EVIDENCE_TYPE}")
     return scored.withColumnRenamed("doc_id", id_col)
 
 
@@ -281,7 +282,7 @@ def reject(
             texts = batch.column(column).cast(pa.large_binary()).to_pylist()
             yield batch.filter(pa.array([index.score(vector(x), neighbours)[0] < 0.5 for x in texts]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 EVIDENCE_ARROW = pa.list_(pa.struct([("example_id", pa.int64()), ("cosine", pa.float64()), ("toxic_share", pa.float64())]))

@@ -17,7 +17,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters whose case, class and normal form need no table of the library's.
 PLAIN = re.compile("[!-~\xa1-ſ]+")
 SPECIAL = "<|"
-MEMO_ROWS = 500_000
+MEMO_ROWS = 400_000
 
 
 def worker_memo(name: str) -> dict:
