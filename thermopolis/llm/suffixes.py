@@ -289,16 +289,35 @@ def previous_factors(data: np.ndarray, length: int) -> np.ndarray:
     return factor
 
 
-def has_previous(order: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Whether each position's longest previous factor reaches the depth of the suffix array.
-
-    That is so if its previous or next smaller position in suffix order has its rank. Positions of a
-    rank stand together and ascend, so the previous smaller one is the place before, and there is no
-    next one.
+def have_previous(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Whether the longest previous factor of the windows at ``starts`` (ascending) reaches ``length``,
+    with the windows alone as positions.
+
+    That is so if a window's previous or next smaller position in suffix order shares its ``length``
+    bytes. In the order of the windows' bytes, equal ones by position, those with equal bytes stand
+    together and ascend: the previous smaller position then is the place before, and there is no next
+    one. Bytes are compared eight at a time. A window whose 64-bit hash occurs once has no copy and is
+    not sorted.
     """
-    ranks = rank[order]
-    out = np.zeros(len(order), bool)
-    out[order[1:]] = ranks[1:] == ranks[:-1]
+    eights = np.ndarray((len(data) - 7,), ">u8", np.ascontiguousarray(data), strides=(1,))
+    steps = [*range(0, length - 7, 8), length - 8]
+    keys = [eights[starts + s].astype(np.uint64) for s in steps]
+    mixed = keys[0]
+    for key in keys[1:]:
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(ODD) + key
+    order = np.argsort(mixed)
+    equal = mixed[order[1:]] == mixed[order[:-1]]
+    twice = np.zeros(len(starts), bool)
+    twice[order[1:]] = equal
+    twice[order[:-1]] |= equal
+    some = np.flatnonzero(twice)
+    keys = [key[some] for key in keys]
+    order = np.lexsort(keys[::-1])
+    equal = np.ones(max(len(order) - 1, 0), bool)
+    for key in keys:
+        equal &= key[order[1:]] == key[order[:-1]]
+    out = np.zeros(len(starts), bool)
+    out[some[order[1:]]] = equal
     return out
 
 
@@ -318,15 +337,10 @@ def _factors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         u1, u2, starts, sizes = (have.column(i).to_numpy() for i in (2, 3, 4, 5))
         if have.num_rows:
             data, offsets = _texts(have.column(6))
-            # A separator of its own behind each context: no suffix goes on beyond it.
-            symbols = np.insert(data.astype(np.int64), offsets[1:], np.arange(have.num_rows) + 256)
-            begin = offsets[:-1] + np.arange(have.num_rows)
-            again = has_previous(*suffix_array(symbols, length))
-            # Windows only: the other positions reach over a separator.
-            sizes = sizes.astype(np.int64)
+            begin, sizes = offsets[:-1], sizes.astype(np.int64)
             place = np.repeat(begin, sizes) + (np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes))
             context = np.repeat(np.arange(have.num_rows), sizes)
-            hit = np.flatnonzero(again[place])
+            hit = np.flatnonzero(have_previous(data, place, length))
             if len(hit):
                 new = np.ones(len(hit), bool)
                 new[1:] = (np.diff(hit) != 1) | (context[hit[1:]] != context[hit[:-1]])
