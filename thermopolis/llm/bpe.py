@@ -165,7 +165,14 @@ def lexicon(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS, text_co
 
 
 def encode_decode(
-    docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS, id_col: str = "doc_id", text_col: str = "text", full: bool = True
+    docs: DataFrame,
+    tokenizer: str,
+    words: int = LEXICON_WORDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    full: bool = True,
+    memo_rows: int = MEMO_ROWS,
+    word_memo_rows: int = WORD_MEMO_ROWS,
 ) -> DataFrame:
     """The id, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of every row; with ``full`` also
     ``ids`` (array<int>) and ``decoded``.
@@ -173,7 +180,8 @@ def encode_decode(
     Each executor fetches the compiled lexicon as a file and maps it into memory. A word it lacks is
     merged exactly; runs with other characters than Latin ones, and those that may hold a special
     token, go through the library, whose tables for case and normal form they need. Decoding joins the
-    tokens with spaces, as the library does for a file without a decoder.
+    tokens with spaces, as the library does for a file without a decoder. A worker remembers up to
+    ``memo_rows`` runs and ``word_memo_rows`` words, some 300 bytes each; they change the time alone.
 
     Defined results: NULL and empty texts have no ids and decode to an empty text; repeated rows come
     out once each; a NULL id passes; an empty table gives no rows.
@@ -201,8 +209,8 @@ def encode_decode(
             return ids
 
         def learn(runs: set[bytes]) -> None:
-            make_room(memo, len(runs))
-            make_room(word_memo, len(runs), WORD_MEMO_ROWS)
+            make_room(memo, len(runs), memo_rows)
+            make_room(word_memo, len(runs), word_memo_rows)
             for run in runs:
                 if run not in memo:
                     text = run.decode()

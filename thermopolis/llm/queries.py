@@ -92,7 +92,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_decode(table(spark, sf_dir, "documents"), word_bpe(), full=False)
+    # Alone in its executors, unlike a stage of the pipeline, it may remember more.
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), word_bpe(), full=False, memo_rows=500_000, word_memo_rows=500_000)
 
 
 @_query
