@@ -134,3 +134,23 @@ def test_vector_recall_across_partitions(spark, monkeypatch):
     got = {r.vec_id: r.n_links for r in vectors.near_duplicates(frame).collect()}
     assert all(got[i] <= n for i, n in enumerate(degree.tolist()))
     assert sum(got.values()) >= 0.95 * degree.sum() > 0
+
+
+def test_every_link_of_a_large_group_counts(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    group = rng.standard_normal(16) + 0.05 * rng.standard_normal((6000, 16))
+    pair = rng.standard_normal((600, 16))
+    x = np.concatenate([group, pair, pair + 0.3 * rng.standard_normal(pair.shape)])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.93
+    schema = "vec_id long, embedding array<double>, label int"
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], schema).repartition(3)
+    got = {r.vec_id: r for r in vectors.near_duplicates(frame).collect()}
+    assert near.sum(axis=1).max() >= 6000
+    assert [got[i].n_links for i in range(len(x))] == (near.sum(axis=1) - 1).tolist()
+    least = np.arange(len(x))
+    while (new := np.array([least[row].min() for row in near])).tolist() != least.tolist():
+        least = new
+    assert [got[i].component_id for i in range(len(x))] == least.tolist()
