@@ -204,3 +204,39 @@ def test_license_wording(spark, odd, empty):
     assert got[1, "MIT"].missing == ["free", "of", "charge"] and got[1, "MIT"].added == ["for", "a", "small", "fee"]
     assert got[1, "CC-BY-4.0"].wording == 1.0
     assert licenses.scan_licenses(odd).collect() == licenses.scan_licenses(empty).collect() == []
+
+
+def test_windows_of_crowded_minima_meet_apart(spark, monkeypatch):
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, other = noise(160), noise(120)
+    rows = [(i, noise(150) + passage + noise(150) + (other if i % 3 else other[:110] + passage[:130])) for i in range(300)]
+    rows += [(400, "a" * 3000), (401, passage * 6 + noise(20) + passage), (402, None)]
+    monkeypatch.setattr(suffixes, "CROWDED", 40)
+    monkeypatch.setattr(suffixes, "PIECE", 4000)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = suffixes.cut_repeats(frame).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == slow_cut(rows, 100)
+
+
+def test_a_crowded_minimum_is_not_one_group():
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = noise(160)
+    texts = [noise(80) + passage + noise(80) for _ in range(500)]
+    names = ["id", "u1", "u2", "text"]
+    units = pa.RecordBatch.from_arrays([pa.array(range(500), pa.int64())] * 3 + [pa.array(texts)], names)
+    seen = pa.Table.from_batches(list(suffixes._minima(iter([units]), 100)))
+    wanted = [sorted(set(seen["minimum"].filter(pa.compute.equal(seen["u1"], i)).to_pylist())) for i in range(500)]
+    runs = {}
+    for m, n in zip(seen["minimum"].to_pylist(), seen["runs"].to_pylist(), strict=True):
+        runs[m] = runs.get(m, 0) + n
+    many = {m for m, n in runs.items() if n > 100}
+    assert many
+    lists = [pa.array(x, pa.list_(pa.int64())) for x in (wanted, [[m for m in w if m in many] for w in wanted])]
+    rows = pa.RecordBatch.from_arrays([*units.columns, *lists], [*names, "minima", "crowded"])
+    out = pa.Table.from_batches(list(suffixes._contexts(iter([rows]), 100)))
+    have = out.filter(pa.compute.equal(out["later"], 0))["minimum"].to_pylist()
+    assert have and max(have.count(m) for m in set(have)) <= 100

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,8 @@ CONTEXT = 2048
 PIECE = 2 << 20
 #: Contexts a task remembers, to ship equal ones once.
 MEMO_ROWS = 200_000
+#: Windows of a minimum with more runs meet by their own bytes instead.
+CROWDED = 4096
 #: Bytes of contexts whose suffixes one call sorts.
 SORT_BYTES = 4 << 20
 ODD, MIX, WORD = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, (1 << 64) - 1
@@ -41,8 +44,11 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
     order, its previous or next smaller position shares ``length`` bytes with it just when it has an
     earlier copy. 4. The ranges found are joined to the texts and cut. No window is sampled or capped.
 
-    A passage that many documents share meets in few rows: within a batch, equal contexts are one row,
-    the first's, and the others are known to repeat it.
+    A passage that many documents share meets in few rows: within a task, equal contexts are one row,
+    the first's, and the others are known to repeat it. At the passage's edges contexts differ in every
+    document, so the windows of a minimum with over ``CROWDED`` runs go one by one, each to the place
+    of a hash of its bytes and again only the first of equal ones: what meets is bounded by the number
+    of batches, not of documents.
 
     Defined results: NULL counts as empty; texts shorter than ``length`` stay; rows with one id and one
     text are one document and get one result each; different texts under one id are ordered by a hash
@@ -60,13 +66,16 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
     order = F.coalesce(F.col("owner").cast("long"), F.lit((1 << 63) - 1))
     units = units.select(order.alias("id"), "u1", "u2", "text")
 
-    seen = units.mapInArrow(lean(lambda b: _minima(b, length)), "minimum long, u1 long, u2 long, known int")
+    seen = units.mapInArrow(lean(lambda b: _minima(b, length)), "minimum long, u1 long, u2 long, known int, runs long")
     # Rows that are known to repeat need no comparison and are spread; the others meet by minimum.
     place = F.when(F.col("known") == 2, F.xxhash64("u1", "minimum")).otherwise(F.col("minimum"))
     repeated = seen.repartition(place).sortWithinPartitions("minimum").mapInArrow(_repeated, "minimum long, u1 long, u2 long")
-    wanted = repeated.groupBy(*unit).agg(F.collect_set("minimum").alias("minima"))
+    crowded = repeated.where("u1 is null").select("minimum", F.lit(True).alias("many"))
+    repeated = repeated.where("u1 is not null").join(crowded, "minimum", "left")
+    many = F.collect_set(F.when(F.col("many"), F.col("minimum"))).alias("crowded")
+    wanted = repeated.groupBy(*unit).agg(F.collect_set("minimum").alias("minima"), many)
 
-    contexts = units.join(wanted, unit).select("id", "u1", "u2", "text", "minima")
+    contexts = units.join(wanted, unit).select("id", "u1", "u2", "text", "minima", "crowded")
     contexts = contexts.mapInArrow(lean(lambda b: _contexts(b, length)), "minimum long, id long, u1 long, u2 long, start int, windows int, bytes binary, later int"
     )
     place = F.when(F.col("later") == 1, F.xxhash64("u1", "start")).otherwise(F.col("minimum"))
@@ -155,8 +164,9 @@ def _runs_of(batch: pa.RecordBatch, column: int, length: int):
 
 
 def _minima(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(minimum, unit, known) of each run. known: 0 for a minimum that the batch has once, else 1 for
-    one row of it and 2 for the others, and for a run that may repeat itself."""
+    """(minimum, unit, known, runs) of each run. known: 0 for a minimum that the batch has once, else 1
+    for one row of it, with the number of its runs, and 2 for the others, and for a run that may repeat
+    itself."""
     for batch in pieces(batches, 3, PIECE):
         row, _, _, minimum, twice, _, _ = _runs_of(batch, 3, length)
         if len(row):
@@ -168,13 +178,34 @@ def _minima(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
             _, once = np.unique(np.stack([minimum[others], row[others]], axis=1), axis=0, return_index=True)
             at = np.concatenate([np.flatnonzero(known < 2), others[once]])
             u1, u2 = (batch.column(i).to_numpy()[row[at]] for i in (1, 2))
-            yield pa.RecordBatch.from_arrays([*map(pa.array, (minimum[at], u1, u2, known[at]))], ["minimum", "u1", "u2", "known"])
+            number = np.where(known[at] < 2, times[inverse[at]], 0)
+            arrays = [*map(pa.array, (minimum[at], u1, u2, known[at], number))]
+            yield pa.RecordBatch.from_arrays(arrays, ["minimum", "u1", "u2", "known", "runs"])
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by minimum, those known to repeat or with the minimum of a neighbour."""
-    held = None
+    """Of rows sorted by minimum, those known to repeat or with the minimum of a neighbour; and a row
+    without unit for each minimum of too many runs.
+
+    The rows that carry runs of one minimum are all in one partition, one for each batch of texts.
+    """
+    held, last_minimum, last_runs = None, None, 0
+
+    def marks(minima: list[int]) -> pa.RecordBatch:
+        unit = pa.nulls(len(minima), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(minima, pa.int64()), unit, unit], ["minimum", "u1", "u2"])
+
     for batch in batches:
+        if batch.num_rows:
+            minimum = batch.column(0).to_numpy()
+            start = np.flatnonzero(np.concatenate([[True], minimum[1:] != minimum[:-1]]))
+            groups, runs = minimum[start].tolist(), np.add.reduceat(batch.column(4).to_numpy(), start).tolist()
+            if groups[0] == last_minimum:
+                runs[0] += last_runs
+            else:
+                groups, runs = [last_minimum, *groups], [last_runs, *runs]
+            last_minimum, last_runs = groups[-1], runs[-1]
+            yield marks([g for g, n in zip(groups[:-1], runs[:-1], strict=True) if n > CROWDED])
         rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
         minimum = rows.column(0).to_numpy()
         equal = minimum[1:] == minimum[:-1]
@@ -187,6 +218,8 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if out[last]:
             held = held.set_column(3, "known", pa.array([1], pa.int32()))
         yield rows.slice(0, last).filter(pa.array(out[:last])).select([0, 1, 2])
+    if last_runs > CROWDED:
+        yield marks([last_minimum])
     if held is not None and held.column(3)[0].as_py() > 0:
         yield held.select([0, 1, 2])
 
@@ -195,7 +228,8 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
     """The runs whose minimum is wanted, with their bytes.
 
     A run whose bytes the task has met before, earlier in the order of the texts, is marked ``later``
-    and carries none: all its windows are repeats.
+    and carries none: all its windows are repeats. Other runs of a crowded minimum are cut into windows,
+    with the hash of the window as minimum, and those the task has met are marked in the same way.
     """
     names = ["minimum", "id", "u1", "u2", "start", "windows", "bytes", "later"]
     known: dict[bytes, tuple[int, ...]] = {}
@@ -210,23 +244,47 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
         at = np.flatnonzero(np.isin(minimum ^ (row << 40), mixed))
         ids, u1, u2 = (batch.column(i).to_numpy()[row] for i in range(3))
         at = at[np.lexsort((start[at], u2[at], u1[at], ids[at]))]
-        begin = (offsets[row[at]] + start[at]).tolist()
+        begin = offsets[row[at]] + start[at]
         minimum, ids, u1, u2, start, size = (x[at] for x in (minimum, ids, u1, u2, start, size))
-        if len(known) > MEMO_ROWS:
-            known.clear()
-        text, content, later = data.tobytes(), [], []
-        for a, n, *place in zip(begin, *(x.tolist() for x in (size, ids, u1, u2, start)), strict=True):
-            part = text[a : a + n + length - 1]
+        # Whether a minimum is crowded does not depend on the text, so all its runs here are cut.
+        crowded = np.isin(minimum, batch.column(5).flatten().to_numpy())
+        text, rows = data.tobytes(), []
+
+        def met(part: bytes, place: tuple[int, ...]) -> bool:
             before = known.get(part)
-            place = tuple(place)
-            later.append(before is not None and before < place)
-            if later[-1]:
-                content.append(None)
+            if before is not None and before < place:
+                return True
+            if len(known) > MEMO_ROWS:
+                known.clear()
+            known[part] = place
+            return False
+
+        for m, a, n, cut, *place in zip(*(x.tolist() for x in (minimum, begin, size, crowded, ids, u1, u2, start)), strict=True):
+            part = text[a : a + n + length - 1]
+            if met(part, tuple(place)):
+                rows.append((m, *place, n, None, 1))
+            elif not cut:
+                rows.append((m, *place, n, part, 0))
             else:
-                content.append(part)
-                known[part] = place
-        arrays = [minimum, ids, u1, u2, start.astype(np.int32), size.astype(np.int32)]
-        yield pa.RecordBatch.from_arrays([*map(pa.array, arrays), pa.array(content, pa.binary()), pa.array(later).cast(pa.int32())], names)
+                *unit, first = place
+                for i in range(n):
+                    window = text[a + i : a + i + length]
+                    if n == 1 or not met(window, (*unit, first + i)):
+                        rows.append((xxhash.xxh64_intdigest(window) - (1 << 63), *unit, first + i, 1, window, 0))
+                    elif rows[-1][-1] and rows[-1][1:4] == tuple(unit) and rows[-1][4] + rows[-1][5] == first + i:
+                        rows[-1] = (*rows[-1][:5], rows[-1][5] + 1, None, 1)
+                    else:
+                        rows.append((m, *unit, first + i, 1, None, 1))
+            if len(rows) >= MEMO_ROWS:
+                yield _rows(rows, names)
+                rows = []
+        if rows:
+            yield _rows(rows, names)
+
+
+def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary(), pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
 def suffix_array(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
