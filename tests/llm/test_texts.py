@@ -240,3 +240,19 @@ def test_a_crowded_minimum_is_not_one_group():
     out = pa.Table.from_batches(list(suffixes._contexts(iter([rows]), 100)))
     have = out.filter(pa.compute.equal(out["later"], 0))["minimum"].to_pylist()
     assert have and max(have.count(m) for m in set(have)) <= 100
+
+
+def test_licenses_are_found_however_wrapped(spark):
+    import textwrap
+
+    before, behind = ("plain words " + "of a longer paragraph " * 30, "more words " * 60)
+    docs, want = [], {}
+    for width in (30, 35, 40, 45, 50, 55, 60, 70, 80):
+        for name, text in licenses.TEMPLATES:
+            lines = [x for part in (before, text, behind) for x in textwrap.wrap(part, width, break_long_words=False, break_on_hyphens=False)]
+            want[len(docs)] = [name]
+            docs.append((len(docs), "\n".join("# " + x for x in lines)))
+    found = {i: [] for i in want}
+    for r in licenses.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        found[r.doc_id].append(r.license)
+    assert found == want

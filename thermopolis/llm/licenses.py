@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -72,15 +75,15 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
 ]
-# What a line must hold, in lower case, to belong to a candidate block.
+# What words must hold, in lower case and joined by blanks, to have a candidate block around them.
 TRIGGERS = ["licens", "licenc", "copyright", "redistribut", "public domain", "creative commons", "permission", "warrant", "cc by"]
 
 TRIGGER = re.compile("|".join(TRIGGERS))
+#: The same in a text as it is, where line ends and comment signs may stand between two words.
+RAW_TRIGGER = re.compile("|".join(t.replace(" ", r"\W+") for t in TRIGGERS).encode())
 
 #: Words a step in the search for notices of one line.
 SHORT = 12
-#: Trigger lines no further apart make one block.
-GAP = 4
 #: A template is tried if it shortens the compressed block by this share of its own compressed size ...
 MIN_REDUCTION = 0.15
 #: ... and if so few shorten it by more; it is confirmed if this share of its words stands there in order.
@@ -102,7 +105,9 @@ class Matcher:
 
     def __init__(self, templates: list[tuple[str, str]]):
         self.templates = [(name, words_of(text)) for name, text in templates]
-        self.longest = max(len(w) for _, w in self.templates)
+        #: Words a confirmed notice has at most.
+        self.longest = int(max(len(w) for _, w in self.templates) / MIN_WORDING) + 1
+        self.counts = [Counter(w) for _, w in self.templates]
         self.plain = zstandard.ZstdCompressor(level=LEVEL)
         self.sizes = [len(self.plain.compress(" ".join(w).encode())) for _, w in self.templates]
         self.given = [
@@ -114,12 +119,19 @@ class Matcher:
         ]
 
     def ranked(self, block: list[str]) -> list[tuple[float, int]]:
-        """Templates by how many bytes shorter the block gets with them at hand, as shares of their sizes."""
+        """Templates by how many bytes shorter the block gets with them at hand, as shares of their sizes.
+
+        A template of whose words too few stand in the block, in whatever order, cannot be confirmed.
+        """
+        have = Counter(block)
+        able = [sum(min(n, have[w]) for w, n in c.items()) >= MIN_WORDING * len(t) for c, (_, t) in zip(self.counts, self.templates, strict=True)]
+        if not any(able):
+            return []
         data = " ".join(block).encode()
         alone = len(self.plain.compress(data))
         cut = [alone - len(c.compress(data)) for c in self.given]
         order = sorted(range(len(cut)), key=lambda i: (-cut[i], i))[:TRIED]
-        return [(cut[i] / self.sizes[i], i) for i in order if cut[i] >= MIN_REDUCTION * self.sizes[i]]
+        return [(cut[i] / self.sizes[i], i) for i in order if able[i] and cut[i] >= MIN_REDUCTION * self.sizes[i]]
 
     def wording(self, template: list[str], block: list[str]) -> tuple[float, int, int, list[str], list[str]]:
         """Share of equal words, where they stand, and the words missing and added there."""
@@ -164,29 +176,34 @@ class Matcher:
         return [row for _, _, row in sorted(taken, key=lambda x: x[0])]
 
 
-def blocks_of(text: str) -> Iterator[tuple[int, list[str], list[int]]]:
-    """First line, words and each word's line of the candidate blocks of a text."""
-    lines = text.split("\n")
-    hits = [i for i, line in enumerate(lines) if any(t in line.lower() for t in TRIGGERS)]
-    begin = 0
-    for n, at in enumerate(hits):
-        if n + 1 == len(hits) or hits[n + 1] - at > GAP:
-            first = max(0, hits[begin] - 1)
-            words, places = [], []
-            for i in range(first, min(len(lines), at + 2)):
-                found = words_of(lines[i])
-                words += found
-                places += [i] * len(found)
-            yield first, words, places
-            begin = n + 1
+def blocks_of(text: str, reach: int) -> Iterator[tuple[list[str], list[int]]]:
+    """Words and each word's line of the candidate blocks of a text: ``reach`` words on either side of
+    every trigger, however the text is wrapped."""
+    words, places = [], []
+    for i, line in enumerate(text.split("\n")):
+        found = words_of(line)
+        words += found
+        places += [i] * len(found)
+    ends = list(accumulate(len(w) + 1 for w in words))
+    begin = end = 0
+    for hit in TRIGGER.finditer(" ".join(words)):
+        first, last = bisect_right(ends, hit.start()), bisect_right(ends, hit.end() - 1)
+        if end and first - reach > end:
+            yield words[begin:end], places[begin:end]
+            end = 0
+        if not end:
+            begin = max(0, first - reach)
+        end = min(len(words), last + 1 + reach)
+    if end:
+        yield words[begin:end], places[begin:end]
 
 
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each notice found: id, ``license``, ``line`` (from 0), ``reduction``, ``wording``,
     and the words ``missing`` and ``added`` against the template.
 
-    Lines that hold a trigger word, with those beside and between them, are candidate blocks. A block
-    is compressed alone and with each template as a raw zstandard dictionary; templates are ranked by
+    Trigger words with as many words on either side as a notice can have are candidate blocks, whatever
+    lines they stand in. A block is compressed alone and with each template as a raw zstandard dictionary; templates are ranked by
     how much shorter that makes it (``reduction`` is that as a share of the template's own compressed
     size), and of the first few the one with the nearest wording wins, if at least 0.85 of its words
     stand there in order and make up as much of that place. What stands before and behind a notice is
@@ -198,7 +215,6 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
-    triggers = [t.encode() for t in TRIGGERS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher, memo = Matcher(templates), {}
@@ -206,9 +222,9 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
             rows: list[list] = [[] for _ in range(7)]
             for row, text in enumerate(batch.column(1).cast(pa.large_binary()).to_pylist()):
                 lower = (text or b"").lower()
-                if not any(t in lower for t in triggers):
+                if not RAW_TRIGGER.search(lower):
                     continue
-                for _, words, places in blocks_of(text.decode()):
+                for words, places in blocks_of(text.decode(), matcher.longest):
                     key = " ".join(words)
                     if key not in memo:
                         make_room(memo, 1, MEMO_ROWS)
