@@ -256,3 +256,10 @@ def test_licenses_are_found_however_wrapped(spark):
     for r in licenses.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect():
         found[r.doc_id].append(r.license)
     assert found == want
+
+
+def test_every_template_that_shortens_enough_is_tried():
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    block = [w for _, words in matcher.templates for w in words]
+    assert {i for _, i in matcher.ranked(block)} >= {i for i, (_, words) in enumerate(matcher.templates) if len(words) > 30}
+    assert len(matcher.ranked(block)) > 6

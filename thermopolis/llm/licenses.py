@@ -86,8 +86,7 @@ RAW_TRIGGER = re.compile("|".join(t.replace(" ", r"\W+") for t in TRIGGERS).enco
 SHORT = 12
 #: A template is tried if it shortens the compressed block by this share of its own compressed size ...
 MIN_REDUCTION = 0.15
-#: ... and if so few shorten it by more; it is confirmed if this share of its words stands there in order.
-TRIED = 6
+#: ... and confirmed if this share of its words stands there in order.
 MIN_WORDING = 0.85
 LEVEL = 19
 MEMO_ROWS = 20_000
@@ -130,7 +129,7 @@ class Matcher:
         data = " ".join(block).encode()
         alone = len(self.plain.compress(data))
         cut = [alone - len(c.compress(data)) for c in self.given]
-        order = sorted(range(len(cut)), key=lambda i: (-cut[i], i))[:TRIED]
+        order = sorted(range(len(cut)), key=lambda i: (-cut[i], i))
         return [(cut[i] / self.sizes[i], i) for i in order if able[i] and cut[i] >= MIN_REDUCTION * self.sizes[i]]
 
     def wording(self, template: list[str], block: list[str]) -> tuple[float, int, int, list[str], list[str]]:
@@ -205,7 +204,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     Trigger words with as many words on either side as a notice can have are candidate blocks, whatever
     lines they stand in. A block is compressed alone and with each template as a raw zstandard dictionary; templates are ranked by
     how much shorter that makes it (``reduction`` is that as a share of the template's own compressed
-    size), and of the first few the one with the nearest wording wins, if at least 0.85 of its words
+    size), and of those it shortens enough for the one with the nearest wording wins, if at least 0.85 of its words
     stand there in order and make up as much of that place. What stands before and behind a notice is
     searched on. Blocks over twice the longest template are searched in
     overlapping parts, so texts are read whole. Equal blocks are searched once in a task.
