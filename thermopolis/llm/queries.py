@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermopolis.llm import bpe, decontaminate, licenses, lines, simhash, suffixes, tokens, toxicity, vectors, warc
+from thermopolis.llm import bpe, decontaminate, licenses, lines, periodic, simhash, suffixes, tokens, toxicity, vectors, warc
 from thermopolis.llm.common import materialize, remove, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,3 +189,32 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.start.alias("start"),
+        best.length.alias("length"),
+        best.period.alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth text by its id's CRC-32 with its words from a certain one on repeated at an interval."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    rows = rows.select("*", F.size("words").cast("long").alias("n"), F.floor(F.col("h") / 10).alias("g"))
+    rows = rows.select("*", F.expr("if(n > 0, g % n, null)").alias("a"))
+    rows = rows.select("*", F.expr("1 + floor((n - a) / (3 + g % 8))").alias("p"))
+    again = "array_join(transform(words, (w, i) -> if(i < a, w, words[cast(a + (i - a) % p as int)])), ' ')"
+    return rows.select("doc_id", F.expr(f"if(n > 0, {again}, text)").alias("text"))
