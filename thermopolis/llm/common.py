@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: A long text is split into words by slices of so many bytes.
+SLICE = 1 << 20
 
 
 def shared_folder(spark) -> str:
@@ -85,6 +87,17 @@ def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterat
             yield batch.slice(start)
 
 
+def split_words(text: bytes) -> Iterator[list[bytes]]:
+    """A text's words, runs without ASCII white space, in lists of bounded size."""
+    at = 0
+    while at < len(text):
+        end = min(at + SLICE, len(text))
+        while end < len(text) and text[end] not in b" \t\n\v\f\r":
+            end += 1
+        yield text[at:end].split()
+        at = end
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); component is the smallest node reached.
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermopolis.llm.common import lean, pieces
+from thermopolis.llm.common import lean, pieces, split_words
 
 #: Words of the smallest block; a run of MIN_LENGTH words holds an aligned block and its next occurrence.
 BLOCK = 8
@@ -18,8 +18,6 @@ MIN_LENGTH = 24
 MIN_EXPONENT = 3
 #: Texts are searched together up to so many bytes, a longer one alone.
 PIECE = 4 << 20
-#: A long text is split into words by slices of so many bytes.
-SLICE = 1 << 20
 #: So many occurrences of all blocks are asked for side by side; what is left goes by progressions.
 ROUNDS = 16
 
@@ -229,17 +227,6 @@ def _progressions(words, lows, ends, matrix, start, left, right, now, length) ->
     return pairs
 
 
-def split_words(text: bytes) -> Iterator[list[bytes]]:
-    """A text's words, runs without ASCII white space, in lists of bounded size."""
-    at = 0
-    while at < len(text):
-        end = min(at + SLICE, len(text))
-        while end < len(text) and text[end] not in b" \t\n\v\f\r":
-            end += 1
-        yield text[at:end].split()
-        at = end
-
-
 def strongest(runs: np.ndarray) -> int | None:
     """The index of the run with the greatest length / period, the first of equal ones."""
     best = None

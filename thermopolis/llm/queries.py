@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermopolis.llm import bpe, decontaminate, licenses, lines, periodic, simhash, suffixes, tokens, toxicity, vectors, warc
+from thermopolis.llm import bpe, decontaminate, licenses, lines, periodic, search, simhash, suffixes, tokens, toxicity, vectors, warc
 from thermopolis.llm.common import materialize, remove, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,3 +218,38 @@ def _with_planted_runs(docs: DataFrame) -> DataFrame:
     rows = rows.select("*", F.expr("1 + floor((n - a) / (3 + g % 8))").alias("p"))
     again = "array_join(transform(words, (w, i) -> if(i < a, w, words[cast(a + (i - a) % p as int)])), ' ')"
     return rows.select("doc_id", F.expr(f"if(n > 0, {again}, text)").alias("text"))
+
+
+@_query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+_TERMS = (
+    r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+ORACLES["op13_lexical_search"] = f"""
+WITH texts AS (SELECT row_number() OVER () AS place, doc_id, {_TERMS} AS terms FROM documents),
+docs AS (SELECT place, doc_id, terms, len(terms)::BIGINT AS n FROM texts WHERE len(terms) > 0),
+totals AS (SELECT count(*)::BIGINT AS all_docs, sum(n)::BIGINT AS all_terms FROM docs),
+wanted AS (
+  SELECT item_id, term, count(*)::BIGINT AS times
+  FROM (SELECT item_id, unnest({_TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL
+),
+postings AS (
+  SELECT place, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT place, doc_id, n, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * all_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM postings, totals GROUP BY term, all_docs
+),
+scored AS (
+  SELECT item_id, place, doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * all_docs) // all_terms))))::BIGINT AS score
+  FROM wanted JOIN postings USING (term) JOIN weights USING (term), totals GROUP BY item_id, place, doc_id
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20
+"""
