@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thermopolis.llm.common import lean, pieces, split_words
+from thermopolis.llm.wordsuffixes import BLOCK, suffix_array
 
-#: Words of the smallest block; a run of MIN_LENGTH words holds an aligned block and its next occurrence.
-BLOCK = 8
+#: A run of so many words holds an aligned block of BLOCK words and its next occurrence.
 MIN_LENGTH = 24
 MIN_EXPONENT = 3
 #: Texts are searched together up to so many bytes, a longer one alone.
@@ -78,58 +78,6 @@ class WaveletMatrix:
         return out
 
 
-def suffix_array(words: np.ndarray, ends: np.ndarray):
-    """(array, levels): the suffixes of several texts, those that share BLOCK words with another one of
-    their text, in an order in which suffixes with equal beginnings stand side by side; and for each
-    dyadic length with repeats (length, starts, left, right): its aligned blocks that occur again in
-    their text and the interval of the array where their occurrences stand.
-
-    ``ends`` holds for each word where its text ends. Prefix doubling; a suffix that has become unique
-    is not sorted again.
-    """
-    n = len(words)
-    alone = np.arange(n, 2 * n, dtype=np.int64)
-
-    def groups(keys: np.ndarray, where: np.ndarray):
-        """``where`` by ascending key, the first index of each one's group, and whether it has others."""
-        by = np.argsort(keys, kind="stable")
-        keys, where = keys[by], where[by]
-        new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-        sizes = np.diff(np.append(new, len(keys)))
-        return where, np.repeat(new, sizes), np.repeat(sizes, sizes) > 1
-
-    active, first, shared = groups(ends.astype(np.int64) * (int(words.max(initial=0)) + 1) + words, np.arange(n, dtype=np.int64))
-    rank, length = alone.copy(), 1
-    rank[active[shared]] = first[shared]
-    active = active[shared]
-
-    def halves(where: np.ndarray) -> np.ndarray:
-        fits = ends[where] - where >= 2 * length
-        second = np.where(fits, rank[np.minimum(where + length, n - 1)], where + n)
-        return rank[where] * (2 * n) + second
-
-    while length < BLOCK:
-        active, first, shared = groups(halves(active), active)
-        rank, length = alone.copy(), 2 * length
-        rank[active[shared]] = first[shared]
-        active = active[shared]
-    array, first, shared = groups(rank[active], active)
-    rank[array] = first
-    slots, levels = np.arange(len(array)), []
-    while len(slots):
-        starts = array[slots]
-        aligned = starts % length == 0
-        left = rank[starts]
-        right = left + np.bincount(left, minlength=len(array))[left]
-        levels.append((length, starts[aligned], left[aligned], right[aligned]))
-        # The slots of a group stay its own, so its suffixes are put in order where they stand.
-        where, first, shared = groups(halves(starts), starts)
-        array[slots], length = where, 2 * length
-        rank[where] = slots[first]
-        slots = slots[shared]
-    return array, levels
-
-
 def stretch(words: np.ndarray, low: int, high: int, at: int, period: int) -> tuple[int, int]:
     """The longest [start, end) around ``at`` and ``at + period`` within [low, high) in which words
     ``period`` apart are equal; it is ``period`` long if those two are not."""
@@ -169,7 +117,7 @@ def find_runs(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     n = len(words)
     ends = np.repeat(bounds[1:], np.diff(bounds)).astype(np.int64)
     lows = np.repeat(bounds[:-1], np.diff(bounds)).astype(np.int64)
-    array, levels = suffix_array(words, ends)
+    array, levels = suffix_array(words, ends, ends)
     found: dict[tuple[int, int], int] = {}
     if not levels:
         return np.zeros((0, 3), np.int64)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermopolis.llm import bpe, decontaminate, licenses, lines, periodic, search, simhash, suffixes, tokens, toxicity, vectors, warc
+from thermopolis.llm import bpe, decontaminate, extract, licenses, lines, periodic, search, simhash, suffixes, tokens, toxicity, vectors, warc
 from thermopolis.llm.common import materialize, remove, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -253,3 +253,8 @@ scored AS (
 SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
 FROM scored WHERE score > 0 QUALIFY rank <= 20
 """
+
+
+@_query
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_text(table(spark, sf_dir, "pages"))
