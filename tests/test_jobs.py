@@ -35,15 +35,14 @@ def raw_zone(spark, tmp_path_factory):
         population=[(i, 2025, i) for i in range(30)],
         city_consumption=[(i, i, 2025, 10.0 * i, 100.0 + i * i) for i in range(30)],
     )
-    for name, df in tables.items():
-        sinks.write_dimension(df, str(base / "tables"), name)
+    sinks.write_dimensions(tables, str(base / "tables"))
     return base
 
 
 def test_ingest(spark, raw_zone):
     readings = raw.read_stamped_readings(spark, str(raw_zone / "readings"))
     assert readings.count() == 30 * 2 * 12
-    bad = spark.read.parquet(str(raw_zone / "quarantine")).collect()
+    bad = raw.read_quarantine(spark, str(raw_zone / "quarantine")).drop("digest").collect()
     assert [tuple(r) for r in bad] == [("Broken", datetime(2025, 5, 27, 10), '{"hourly":')]
 
 
@@ -121,12 +120,12 @@ def test_ingest_twice_and_broken_lines(spark, tmp_path):
     for _ in range(2):
         ingest.ingest_payloads(spark, *where)
     assert [r["name"] for r in raw.read_stamped_readings(spark, where[1]).collect()] == ["A"]
-    bad = spark.read.parquet(where[2]).collect()
+    bad = raw.read_quarantine(spark, where[2]).collect()
     assert sorted((r["name"] or "", r["payload"]) for r in bad) == [("", lines[2]), ("", lines[3]), ("B", json.dumps(odd_time))]
 
 
 def test_a_city_leaves_the_unknown_year(spark, raw_zone, tmp_path):
-    tables = {n: spark.read.schema(s).option("header", True).csv(str(raw_zone / "tables" / f"{n}.csv")) for n, s in schemas.DIMENSIONS.items()}
+    tables = raw.read_dimensions(spark, str(raw_zone / "tables"))
     for name, df in tables.items():
         sinks.write_dimension(df.limit(0) if name == "city_consumption" else df, str(tmp_path / "first"), name)
     out = str(tmp_path / "trusted")

@@ -1,5 +1,6 @@
 import json
 from datetime import datetime
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -8,7 +9,7 @@ import micro
 from pyspark.sql import functions as F
 from thermopolis import schemas
 from thermopolis.functions import columns
-from thermopolis.sources import raw, sinks, zones
+from thermopolis.sources import raw, sinks, versions, zones
 
 
 def years(df):
@@ -113,10 +114,9 @@ def test_snapshot_round_trip(spark, tmp_path):
     base = str(tmp_path)
     tables = micro.dimensions(spark, **TABLES)
     for _ in range(2):
-        done = raw.snapshot_tables(
-            tables.__getitem__, lambda df, name: sinks.write_dimension(df, base, name)
-        )
-    assert done == list(schemas.DIMENSIONS)
+        found = raw.snapshot_tables(tables.__getitem__)
+        sinks.write_dimensions(found, base)
+    assert list(found) == list(schemas.DIMENSIONS)
     back = raw.read_dimensions(spark, base)
     assert {n: [tuple(r) for r in df.collect()] for n, df in back.items()} == TABLES
     assert {tuple(r) for r in raw.dimension_counts(back).collect()} == {(n, 1) for n in TABLES}
@@ -138,7 +138,7 @@ def test_wrong_header_is_an_error(spark, tmp_path):
 
 def test_snapshot_refuses_a_table_without_its_columns(spark):
     with pytest.raises(schemas.MissingColumnsError, match="longitude"):
-        raw.snapshot_tables(lambda t: spark.createDataFrame([(1, "A", 1.0)], "id int, name string, latitude double"), lambda df, t: None)
+        raw.snapshot_tables(lambda t: spark.createDataFrame([(1, "A", 1.0)], "id int, name string, latitude double"))
 
 
 class FakeReader:
@@ -201,7 +201,7 @@ def test_jdbc_read_of_an_empty_table_or_one_part_is_plain():
 def test_dynamic_overwrite_keeps_other_years(spark, tmp_path, fmt):
     path = str(tmp_path / "trusted")
     assert sinks.write_trusted(micro.trusted(spark, [{"year": 2024}, {"year": 2025}, {"year": None}]), path, fmt) == 3
-    assert (tmp_path / "trusted" / "year=__HIVE_DEFAULT_PARTITION__").is_dir()
+    assert len(list((tmp_path / "trusted").glob("data/*/year=__HIVE_DEFAULT_PARTITION__"))) == 1
     sinks.write_trusted(micro.trusted(spark, [{"year": 2025, "city": "B"}]), path, fmt)
     got = [(r["year"], r["city"]) for r in zones.read_trusted(spark, path, fmt=fmt).collect()]
     assert set(got) == {(2024, "A"), (2025, "B"), (None, "A")} and len(got) == 3
@@ -247,7 +247,7 @@ def test_one_large_year_is_written_by_several_tasks(spark, tmp_path):
         assert sinks.write_trusted(many, str(path)) == n
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert len(list((path / "year=2025").glob("*.parquet"))) > 2
+    assert len(list(path.glob("data/*/year=2025/*.parquet"))) > 2
     assert zones.read_trusted(spark, str(path)).count() == n
 
 
@@ -263,7 +263,7 @@ def test_catalog_table(spark, tmp_path, fmt):
         sinks.write_trusted(micro.trusted(spark, [{"year": 2026}]), path, fmt)
         assert years(zones.register_trusted(spark, name, path, fmt))[-1] == (2026, "A")
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
 
 
 # Marts
@@ -276,9 +276,9 @@ def test_mart_keeps_every_part(spark, tmp_path, fmt):
     )
     for _ in range(2):
         sinks.write_mart(df.repartition(5), str(tmp_path), "temperature_per_city", fmt)
-    path = tmp_path / "temperature_per_city"
-    assert len(list(path.glob(f"part-*.{fmt}*"))) == 5
-    back = zones.read_mart(spark, str(path), "temperature_per_city", fmt)
+    (place,) = versions.places(spark, str(tmp_path), "temperature_per_city")
+    assert len(list(Path(place).glob(f"part-*.{fmt}*"))) == 5
+    back = zones.read_mart(spark, str(tmp_path / "temperature_per_city"), "temperature_per_city", fmt)
     assert back.count() == 100 and back.schema == schemas.TEMPERATURE_PER_CITY
 
 

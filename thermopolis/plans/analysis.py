@@ -35,17 +35,15 @@ def run(
     fmt: str = "parquet",
     seed: int = 42,
 ) -> dict[str, DataFrame]:
-    """Write the three marts and return the reports, each computed when asked for."""
+    """Write the three marts together and return the reports, each computed when asked for."""
     derived = read_derived(spark, trusted, year, fmt)
     scored = learning.score_both(derived, seed)
-    sinks.write_mart(metrics.temperature_per_city(derived), output, "temperature_per_city", fmt)
-    sinks.write_mart(
-        serving.consumption_rankings(metrics.consumption_per_city(derived)),
-        output,
-        "consumption_ranking",
-        fmt,
-    )
-    sinks.write_mart(learning.electricity_predictions(scored), output, "electricity_predictions", fmt)
+    marts = {
+        "temperature_per_city": metrics.temperature_per_city(derived),
+        "consumption_ranking": serving.consumption_rankings(metrics.consumption_per_city(derived)),
+        "electricity_predictions": learning.electricity_predictions(scored),
+    }
+    sinks.write_marts(marts, output, fmt)
 
     quartiles = stats.exact_quantiles(derived, "kwh_per_capita")
     outliers = stats.outliers(derived, "kwh_per_capita", stats.iqr_fences(quartiles))

@@ -35,10 +35,9 @@ def ingest_tables(
     properties: dict[str, str] | None = None,
     partitions: int = 1,
 ) -> list[str]:
-    return raw.snapshot_tables(
-        lambda table: raw.jdbc_table(spark, url, table, properties, partitions),
-        lambda df, table: sinks.write_dimension(df, dimensions, table),
-    )
+    tables = raw.snapshot_tables(lambda table: raw.jdbc_table(spark, url, table, properties, partitions))
+    sinks.write_dimensions(tables, dimensions)
+    return list(tables)
 
 
 def main() -> None:

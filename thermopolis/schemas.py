@@ -33,6 +33,9 @@ COLLECTED = _struct(
     ("payload", StringType()),
 )
 
+# Quarantine keeps the digest of a row beside it.
+QUARANTINED = StructType(COLLECTED.fields + [StructField("digest", StringType(), True)])
+
 PAYLOAD = _struct(
     (
         "hourly",

@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from thermopolis import schemas
 from thermopolis.functions.columns import PAYLOAD_TIME, snapshot_from_file_name
+from thermopolis.sources import versions
 
 CORRUPT = "_corrupt"
 
@@ -48,13 +49,19 @@ def read_stamped_readings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.STAMPED_READINGS).parquet(path)
 
 
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """The answers written by ``sinks.append_quarantine``, each with its digest."""
+    return spark.read.schema(schemas.QUARANTINED).parquet(path).select(*schemas.QUARANTINED.names)
+
+
 def read_dimension(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """One relational snapshot. A header that disagrees with the schema is an error."""
+    """One relational snapshot, the one in use. A header that disagrees with the schema is an error."""
+    places = versions.places(spark, base, table) or {f"{base}/{table}.csv": []}
     return (
         spark.read.schema(schemas.DIMENSIONS[table])
         .option("header", True)
         .option("enforceSchema", False)
-        .csv(f"{base}/{table}.csv")
+        .csv(list(places))
     )
 
 
@@ -115,16 +122,14 @@ def jdbc_table(
 
 def snapshot_tables(
     read_table: Callable[[str], DataFrame],
-    write_table: Callable[[DataFrame, str], None],
     tables: Iterable[str] = tuple(schemas.DIMENSIONS),
-) -> list[str]:
-    """Copy each relational table as it is now into the raw zone, executor to file."""
-    done = []
+) -> dict[str, DataFrame]:
+    """Each relational table as it is now, for ``sinks.write_dimensions``: executor to file, all published
+    together."""
+    found = {}
     for table in tables:
-        found = schemas.require_columns(read_table(table), schemas.DIMENSIONS[table], table)
-        write_table(found.select(*schemas.DIMENSIONS[table].names), table)
-        done.append(table)
-    return done
+        found[table] = schemas.require_columns(read_table(table), schemas.DIMENSIONS[table], table)
+    return {table: df.select(*schemas.DIMENSIONS[table].names) for table, df in found.items()}
 
 
 def read_collected(spark: SparkSession, path: str) -> DataFrame:
