@@ -135,6 +135,22 @@ def daily_weather_latest(spark, sf_dir):
     return _rounded(daily.daily_weather(adapter.readings(spark, sf_dir), dedupe="latest"))
 
 
+def _merged(spark, sf_dir, dedupe):
+    """Days out of the parts that 24 fetches of their own would leave behind."""
+    parted = adapter.readings(spark, sf_dir).withColumn("fetch", F.col("snapshot") % 24)
+    return _rounded(daily.merge_days(daily.partial_days(parted, dedupe, "fetch"), dedupe))
+
+
+@_query
+def daily_weather_merged(spark, sf_dir):
+    return _merged(spark, sf_dir, "none")
+
+
+@_query
+def daily_weather_latest_merged(spark, sf_dir):
+    return _merged(spark, sf_dir, "latest")
+
+
 @_query
 def city_info(spark, sf_dir):
     return _rounded(_info(spark, sf_dir))

@@ -328,3 +328,7 @@ _BODIES = {
 }
 
 ORACLES = {name: f"{PREFIX}\n{body}" for name, body in _BODIES.items()}
+
+# Merged out of parts, the same rows.
+ORACLES["daily_weather_merged"] = ORACLES["daily_weather"]
+ORACLES["daily_weather_latest_merged"] = ORACLES["daily_weather_latest"]

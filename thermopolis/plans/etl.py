@@ -9,11 +9,11 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from thermopolis.operators.daily import daily_weather
+from thermopolis.operators.daily import merge_days, partial_days
 from thermopolis.operators.integrate import city_info, trusted
-from thermopolis.operators.quality import stage_counts
-from thermopolis.session import build_session
+from thermopolis.session import build_session, clean, materialize
 from thermopolis.sources import raw, sinks, zones
 
 
@@ -46,7 +46,35 @@ def run(
     ``static`` off only the years present are replaced.
     """
     hours, info = read_inputs(spark, readings, dimensions, stamped)
-    return sinks.write_trusted(trusted(daily_weather(hours, dedupe), info), output, fmt, static)
+    days = merge_days(partial_days(hours, dedupe), dedupe)
+    return sinks.write_trusted(trusted(days, info), output, fmt, static)
+
+
+def run_audited(
+    spark: SparkSession,
+    readings: str,
+    dimensions: str,
+    output: str,
+    fmt: str = "parquet",
+    dedupe: str = "none",
+    static: bool = True,
+    stamped: bool = False,
+) -> dict[str, int]:
+    """``run`` that returns the rows of each stage: readings, daily, city_info and final.
+
+    The readings are scanned once. Their partial days, which carry the counts, are written between the two
+    halves of the job and read by both the second half and the count. So a stage that is run again
+    after a lost executor changes no count: they are sums over finished files.
+    """
+    hours, info = read_inputs(spark, readings, dimensions, stamped)
+    parts = materialize(partial_days(hours, dedupe))
+    final = sinks.write_trusted(trusted(merge_days(parts, dedupe), info), output, fmt, static)
+    return {
+        "readings": parts.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0],
+        "daily": parts.select("name", "day").distinct().count(),
+        "city_info": info.count(),
+        "final": final,
+    }
 
 
 def main() -> None:
@@ -63,7 +91,8 @@ def main() -> None:
     parser.add_argument("--input-bytes", type=int, help="raw size, to choose shuffle partitions")
     args = parser.parse_args()
     spark = build_session("thermopolis-etl", input_bytes=args.input_bytes)
-    rows = run(
+    job = run_audited if args.audit else run
+    done = job(
         spark,
         args.readings,
         args.dimensions,
@@ -75,9 +104,12 @@ def main() -> None:
     )
     if args.table:
         zones.register_trusted(spark, args.table, args.output, args.format)
-    print(f"{rows} trusted rows in {args.output}")
     if args.audit:
-        stage_counts(*read_inputs(spark, args.readings, args.dimensions, args.stamped)).show()
+        for stage, rows in done.items():
+            print(f"{stage}: {rows}")
+        clean(spark)
+    else:
+        print(f"{done} trusted rows in {args.output}")
     spark.stop()
 
 
