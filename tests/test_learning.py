@@ -134,3 +134,37 @@ def test_clusters(spark, derived):
     assert sum(r["n_cities"] for r in sizes) == features.count()
     labels = [r["cluster"] for r in sizes if r["cluster"] is not None]
     assert labels == sorted(labels)
+
+
+def under_settings(spark, partitions, made):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        return made()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("part_rows", [learning.PART_ROWS, 100])
+def test_models_depend_on_the_rows_only(spark, derived, monkeypatch, part_rows):
+    """The same predictions and labels under any number of shuffle partitions and layout of files."""
+    deal = learning._same_layout
+    monkeypatch.setattr(learning, "_same_layout", lambda rows, *key: deal(rows, *key, part_rows=part_rows))
+    features = metrics.city_features(derived)
+    forests, labels = [], []
+    for partitions, layout in ((2, derived), (8, derived.repartition(5, "population")), (200, derived.coalesce(1))):
+        forests.append(under_settings(spark, partitions, lambda d=layout: sorted(learning.predict_forest(d).collect())))
+        cities = features.repartition(partitions)
+        labels.append(under_settings(spark, partitions, lambda c=cities: sorted(learning.city_clusters(c).na.fill(-1).collect())))
+    assert labels[1:] == labels[:-1]
+    for other in forests[1:]:
+        assert [tuple(r)[:3] for r in other] == [tuple(r)[:3] for r in forests[0]]
+        assert [r.prediction for r in other] == pytest.approx([r.prediction for r in forests[0]], rel=1e-9)
+
+
+def test_clusters_are_numbered_by_their_centres(spark, derived):
+    features = metrics.city_features(derived).dropna()
+    labelled = learning.city_clusters(features).join(features, "city")
+    means = {r["cluster"]: r for r in labelled.groupBy("cluster").avg("avg_temp").collect()}
+    assert sorted(means) == [0, 1, 2, 3]
+    assert [means[i]["avg(avg_temp)"] for i in range(4)] == sorted(r["avg(avg_temp)"] for r in means.values())

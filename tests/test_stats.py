@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 import micro
+from pyspark.sql import functions as F
 from thermopolis.operators import metrics, stats
 
 
@@ -114,3 +115,22 @@ def test_descriptive_statistics(spark):
         assert row["mean"] == pytest.approx(np.mean(values))
         assert row["stddev"] == pytest.approx(np.std(values, ddof=1))
         assert (row["min"], row["max"]) == (min(values), max(values))
+
+
+@pytest.mark.parametrize("fan", [1, 3, 316])
+def test_sketches_meet_in_two_levels(spark, fan):
+    """Sketches of 40 tasks go to ``fan`` buckets first; quantiles are exact for any of them."""
+    rng = random.Random(fan)
+    values = [rng.choice([rng.gauss(0, 1), float(rng.randrange(5)), 1e9 * rng.random()]) for _ in range(3000)]
+    df = frame(spark, values).repartition(40)
+    probs = {"a": 0.0, "b": 0.01, "c": 0.25, "d": 0.5, "e": 0.75, "f": 0.999, "g": 1.0}
+    row = stats.exact_quantiles(df, "v", probs, accuracy=50, fan=fan).first()
+    assert row.asDict() == {name: brute(values, p) for name, p in probs.items()}
+    points = stats._points(df.select(df.v.alias("value")).withColumn("step", F.lit(1)), ["step"], F.lit(True), 50, fan)
+    assert points.agg(F.sum("n"), F.sum("parts")).first() == (3000, min(fan, 40))
+    plan = points._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        if "percentile_approx" in line:
+            assert "bucket" in line.split("functions=")[0]
+    tasks = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(fan)).alias("b")).agg(F.count_distinct(F.spark_partition_id()).alias("n"))
+    assert max(r["n"] for r in tasks.collect()) <= -(-40 // fan)

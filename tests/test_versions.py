@@ -34,7 +34,7 @@ def tables_of(spark, value):
 
 
 def marts(spark, path):
-    return [r["city"] for n in schemas.MARTS for r in zones.read_mart(spark, f"{path}/{n}", n).collect()]
+    return [r["city"] for n in tables_of(spark, 0) for r in zones.read_mart(spark, f"{path}/{n}", n).collect()]
 
 
 # Trusted

@@ -9,7 +9,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from thermopolis import schemas
@@ -34,6 +34,8 @@ CLUSTER_FEATURES = [
     "longitude",
 ]
 LABEL = "electricity_kwh"
+#: Rows of one part that a model is fitted on.
+PART_ROWS = 250_000
 LINEAR = "linear_regression"
 FOREST = "random_forest"
 
@@ -62,11 +64,11 @@ def _fit_scaler(assembled: DataFrame) -> StandardScalerModel:
     return StandardScaler(inputCol="features", outputCol="scaled_features").fit(assembled)
 
 
-def _same_layout(rows: DataFrame, *key: str) -> DataFrame:
-    """Rows dealt and sorted by ``key``: sampling and initial centres then depend on the number of
-    shuffle partitions, but not on how files or earlier stages laid the rows out."""
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(partitions, *key).sortWithinPartitions(*key)
+def _same_layout(rows: DataFrame, *key: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """Rows dealt by ``key`` into as many parts as their number asks for, each sorted by it: sampling
+    and initial centres then depend on the rows, not on settings or on how they were laid out."""
+    parts = max(1, -(-rows.count() // part_rows))
+    return rows.repartition(parts, *key).sortWithinPartitions(*key)
 
 
 def regression_rows(derived: DataFrame) -> DataFrame:
@@ -153,15 +155,23 @@ def electricity_predictions(scored: DataFrame) -> DataFrame:
 
 
 def city_clusters(features: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
-    """Cities grouped by k-means over six features. Labels carry no order, and NULL is the label of a
-    city with an unknown feature. Like the forest, the groups depend on the number of partitions.
+    """Cities grouped by k-means over six features. Clusters are numbered in the order of their centres,
+    feature by feature; NULL is the label of a city with an unknown feature.
     """
     rows = _same_layout(materialize(_assemble(features, CLUSTER_FEATURES).select("city", "features")), "city")
     scaled = _fit_scaler(rows).transform(rows)
     kmeans = KMeans(k=k, seed=seed, featuresCol="scaled_features", predictionCol="cluster")
-    found = kmeans.fit(scaled).transform(scaled).select("city", "cluster")
+    model = kmeans.fit(scaled)
+    found = model.transform(scaled).select("city", _ordered(model.clusterCenters()).alias("cluster"))
     return features.select("city").join(found, "city", "left")
 
 
+def _ordered(centres: list) -> Column:
+    """The label of each cluster by the place of its centre among all ``k``. Centres are compared to nine
+    digits, as their sums are added in no fixed order."""
+    order = sorted(range(len(centres)), key=lambda i: [float(f"{x:.9g}") for x in centres[i]])
+    return F.element_at(F.array(*[F.lit(order.index(i)) for i in range(len(centres))]), F.col("cluster") + 1)
+
+
 def cluster_sizes(clusters: DataFrame) -> DataFrame:
     return clusters.groupBy("cluster").agg(F.count("*").alias("n_cities")).orderBy("cluster")

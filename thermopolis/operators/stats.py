@@ -19,6 +19,8 @@ CORRELATED = [
 ]
 DESCRIBED = ["avg_temperature", "electricity_kwh", "kwh_per_capita", "temp_range"]
 QUARTILES = {"q1": 0.25, "q3": 0.75}
+#: Buckets that the tasks' sketches are merged in first: the square root of the most scan tasks of a job.
+SKETCH_FAN = 316
 
 
 def correlation_matrix(derived: DataFrame, columns: list[str] = CORRELATED) -> DataFrame:
@@ -74,52 +76,92 @@ def approx_quantiles(
     return found.select(*[F.col("found")[i].alias(name) for i, name in enumerate(probs)])
 
 
+def _points(rows: DataFrame, keys: list[str], inside: Column, size: int, fan: int) -> DataFrame:
+    """Points that share out the rows of each key: (keys, value, weight, n, below, parts).
+
+    Tasks are dealt to ``fan`` buckets, a sketch of each task meets those of its bucket, and of the
+    merged one ``size`` values of equal depth go on. So no task receives more than a share of the
+    tasks' sketches, and the last one ``fan * size`` points a key. ``n`` counts rows that are ``inside``,
+    ``below`` the others, ``parts`` the buckets; each stands at one point of its bucket only.
+    """
+    bucket = F.pmod(F.spark_partition_id(), F.lit(fan))
+    grid = [i / size for i in range(size + 1)]
+    cuts = rows.withColumn("bucket", bucket).groupBy(*keys, "bucket").agg(
+        F.count_if(inside).alias("n"),
+        F.count_if(~inside).alias("below"),
+        F.percentile_approx(F.when(inside, F.col("value")), grid, 4 * size).alias("cut"),
+    )
+    each = cuts.select(*keys, "n", "below", F.posexplode_outer("cut").alias("i", "value"))
+    first = F.coalesce(F.col("i"), F.lit(0)) == 0
+    return each.groupBy(*keys, "value").agg(
+        F.sum(F.when(~first, F.col("n") / F.lit(float(size))).otherwise(0.0)).alias("weight"),
+        *[F.sum(F.when(first, F.col(c)).otherwise(0)).alias(c) for c in ("n", "below")],
+        F.count_if(first).alias("parts"),
+    )
+
+
+def _around(points: DataFrame, key: str, size: int) -> DataFrame:
+    """``points`` with the totals of their key, and with the least and the greatest rank that a value's
+    last row can have in it.
+
+    A value of the grid is off by a quarter of its depth at most, and by what lies up to the next.
+    """
+    ordered = Window.partitionBy(key).orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(key)
+    found = points.withColumns(
+        {"running": F.sum("weight").over(ordered)}
+        | {f"all_{c}": F.sum(c).over(whole) for c in ("n", "below", "parts")}
+    )
+    reach = 1.25 / size * F.col("all_n") + 2 * F.col("all_parts")
+    return found.withColumns({"least_rank": F.col("running") - reach, "most_rank": F.col("running") + reach})
+
+
 def exact_quantiles(
-    df: DataFrame, column: str, probs: dict[str, float] = QUARTILES, accuracy: int = 1_000
+    df: DataFrame, column: str, probs: dict[str, float] = QUARTILES, accuracy: int = 1_000, fan: int = SKETCH_FAN
 ) -> DataFrame:
     """One row of exact quantiles: the value at rank ``greatest(1, ceil(p * n))``.
 
-    Reads the column three times, so hand in something cheap to read again. A small sketch brackets
-    each quantile. A second sketch over the rows of each bracket cuts it into pieces of equal depth
-    and counts what lies below; the rank falls into one of few neighbouring pieces. Only the distinct
-    values between those are counted one by one. Depth is a share of the rows, so what meets in one
-    task is ``8 / accuracy ** 2`` of them for any distribution, and equal values count as one. A
+    Reads the column three times, so hand in something cheap to read again. Sketches, merged in two levels,
+    bracket each quantile. Sketches over the rows of each bracket narrow it down once more; only the
+    distinct values between those ends are counted one by one. What meets there in one task is some
+    ``10 / accuracy ** 2`` of the rows for any distribution, and equal values count as one. A
     quantile outside of what its step has kept is an error, not a result.
     """
-    reach = 2.0 / accuracy
-    edges = [e for p in probs.values() for e in (max(0.0, p - reach), min(1.0, p + reach))]
     known = df.select(F.col(column).alias("value")).where(F.col("value").isNotNull())
 
-    def bracket(name, p, low, high):
-        target = F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("n")))
-        return F.struct(F.lit(name).alias("prob"), low.alias("low"), high.alias("high"), target.alias("target"))
+    def bracket(low, high, target):
+        """The nearest points that the row of rank ``target`` cannot lie before or behind."""
+        return (
+            F.coalesce(F.max(F.when(F.col("most_rank") <= target, F.col("value"))), F.min("value")).alias(low),
+            F.coalesce(F.min(F.when(F.col("least_rank") >= target, F.col("value"))), F.max("value")).alias(high),
+        )
 
-    sketch = known.agg(F.percentile_approx("value", edges, accuracy).alias("edge"), F.count("*").alias("n"))
-    brackets = sketch.select(
-        F.array(*[bracket(name, p, F.col("edge")[2 * i], F.col("edge")[2 * i + 1]) for i, (name, p) in enumerate(probs.items())])
-    ).scalar()
+    def target(p):
+        return F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("all_n")))
 
-    grid = [i / accuracy for i in range(accuracy + 1)]
-    inside = F.col("value") >= F.col("low")
-    pieces = (
-        known.select("value", F.inline(brackets))
-        .where(F.col("value") <= F.col("high"))
-        .groupBy("prob", "low", "high", "target")
-        .agg(
-            F.count_if(~inside).alias("below"),
-            F.count_if(inside).alias("n"),
-            F.percentile_approx(F.when(inside, F.col("value")), grid, 4 * accuracy).alias("cut"),
-        )
+    whole = _around(_points(known.withColumn("step", F.lit(1)), ["step"], F.lit(True), accuracy, fan), "step", accuracy)
+    first = whole.groupBy("step").agg(
+        F.max("all_n").alias("all_n"), *[edge for name, p in probs.items() for edge in bracket(f"low {name}", f"high {name}", target(p))]
     )
-    share = (F.col("target") - F.col("below")) / F.col("n")
-    missed = F.raise_error(F.lit("quantile outside of its bracket")).cast("double")
-
-    def cut(step):
-        place = F.least(F.greatest(F.floor(share * accuracy).cast("int") + step, F.lit(0)), F.lit(accuracy))
-        return F.when((share > 0) & (share <= 1), F.element_at("cut", place + 1)).otherwise(missed)
+    brackets = first.select(
+        F.array(
+            *[
+                F.struct(F.lit(name).alias("prob"), F.col(f"low {name}").alias("low"), F.col(f"high {name}").alias("high"), target(p).alias("target"))
+                for name, p in probs.items()
+            ]
+        )
+    ).scalar()
 
-    chosen = pieces.agg(
-        F.collect_list(F.struct("prob", "target", cut(-3).alias("low"), cut(4).alias("high")))
+    rows = known.select("value", F.inline(brackets)).where(F.col("value") <= F.col("high"))
+    pieces = _around(_points(rows, ["prob", "low", "target"], F.col("value") >= F.col("low"), 2 * accuracy, fan), "prob", 2 * accuracy)
+    missed = F.raise_error(F.lit("quantile outside of its bracket")).cast("double")
+    place = F.col("target") - F.col("all_below")
+    narrow = pieces.groupBy("prob", "target").agg(
+        F.max(place).alias("place"), F.max("all_n").alias("n"), *bracket("low", "high", place)
+    )
+    held = (F.col("place") >= 1) & (F.col("place") <= F.col("n"))
+    chosen = narrow.agg(
+        F.collect_list(F.struct("prob", "target", F.when(held, F.col("low")).otherwise(missed).alias("low"), "high"))
     ).scalar()
     running = Window.partitionBy("prob").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     reached = (

@@ -35,19 +35,20 @@ def run(
     fmt: str = "parquet",
     seed: int = 42,
 ) -> dict[str, DataFrame]:
-    """Write the three marts together and return the reports, each computed when asked for."""
+    """Write the four marts together and return the reports, each computed when asked for."""
     derived = read_derived(spark, trusted, year, fmt)
     scored = learning.score_both(derived, seed)
+    clusters = materialize(learning.city_clusters(metrics.city_features(derived), seed=seed))
     marts = {
         "temperature_per_city": metrics.temperature_per_city(derived),
         "consumption_ranking": serving.consumption_rankings(metrics.consumption_per_city(derived)),
         "electricity_predictions": learning.electricity_predictions(scored),
+        "city_clusters": clusters,
     }
     sinks.write_marts(marts, output, fmt)
 
     quartiles = stats.exact_quantiles(derived, "kwh_per_capita")
     outliers = stats.outliers(derived, "kwh_per_capita", stats.iqr_fences(quartiles))
-    clusters = learning.city_clusters(metrics.city_features(derived), seed=seed)
     return {
         "rmse_report": learning.rmse_report(scored),
         "cluster_sizes": learning.cluster_sizes(clusters),

@@ -98,10 +98,13 @@ ELECTRICITY_PREDICTIONS = _struct(
     ("prediction", DoubleType()),
 )
 
+CITY_CLUSTERS = _struct(("city", StringType()), ("cluster", IntegerType()))
+
 MARTS = {
     "temperature_per_city": TEMPERATURE_PER_CITY,
     "consumption_ranking": CONSUMPTION_RANKING,
     "electricity_predictions": ELECTRICITY_PREDICTIONS,
+    "city_clusters": CITY_CLUSTERS,
 }
 
 
