@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 from itertools import accumulate
 
+import ahocorasick
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -73,14 +74,74 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General"
+        " Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your"
+        " option) any later version.",
+    ),
+    (
+        "LGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General"
+        " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your"
+        " option) any later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General"
+        " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your"
+        " option) any later version.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
+        " following conditions are met: Redistributions of source code must retain the above copyright notice, this list"
+        " of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright"
+        " notice, this list of conditions and the following disclaimer in the documentation and/or other materials"
+        " provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may"
+        " be used to endorse or promote products derived from this software without specific prior written permission.",
+    ),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"
+        " which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held"
+        " liable for any damages arising from the use of this software. Permission is granted to anyone to use this"
+        " software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject"
+        " to the following restrictions:",
+    ),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish,"
+        " use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any"
+        " purpose, commercial or non-commercial, and by any means.",
+    ),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
 ]
-# What words must hold, in lower case and joined by blanks, to have a candidate block around them.
-TRIGGERS = ["licens", "licenc", "copyright", "redistribut", "public domain", "creative commons", "permission", "warrant", "cc by"]
-
-TRIGGER = re.compile("|".join(TRIGGERS))
-#: The same in a text as it is, where line ends and comment signs may stand between two words.
-RAW_TRIGGER = re.compile("|".join(t.replace(" ", r"\W+") for t in TRIGGERS).encode())
+# Words that name a license or its family. A notice that lacks one of its template's, or has
+# another one, states another license.
+NAMING = frozenset(
+    "affero agpl apache bsd by-nc by-nc-nd by-nc-sa by-nd by-sa cc0 eclipse epl gnu gpl isc lesser lgpl mit mozilla mpl"
+    " noderivatives noderivs noncommercial sharealike unlicense".split()
+)
+#: These are common words, but where a template has them they must be there.
+NAMING_HERE = frozenset(
+    "attribution attribution-noderivatives attribution-noncommercial attribution-sharealike boost by creative general library public".split()
+)
+VERSION = re.compile(r"v?\d{1,2}(\.\d+)*")
 
 #: Words a step in the search for notices of one line.
 SHORT = 12
@@ -107,6 +168,13 @@ class Matcher:
         #: Words a confirmed notice has at most.
         self.longest = int(max(len(w) for _, w in self.templates) / MIN_WORDING) + 1
         self.counts = [Counter(w) for _, w in self.templates]
+        self.versioned = [any(VERSION.fullmatch(x) for x in w) for _, w in self.templates]
+        #: Word sequences of which every notice near enough to a template holds one.
+        self.marks = ahocorasick.Automaton()
+        for _, w in self.templates:
+            for piece in pieces_of(w):
+                self.marks.add_word(f" {' '.join(piece)} ", len(piece))
+        self.marks.make_automaton()
         self.plain = zstandard.ZstdCompressor(level=LEVEL)
         self.sizes = [len(self.plain.compress(" ".join(w).encode())) for _, w in self.templates]
         self.given = [
@@ -117,6 +185,20 @@ class Matcher:
             for _, w in self.templates
         ]
 
+    def marked(self, words: list[str]) -> Iterator[tuple[int, int]]:
+        """Where marks stand, from the first word to the one behind the last."""
+        ends = list(accumulate((len(w) + 1 for w in words), initial=0))
+        for end, n in self.marks.iter(f" {' '.join(words)} "):
+            last = bisect_right(ends, end - 1)
+            yield last - n, last
+
+    def is_named(self, template: int, missing: list[str], added: list[str]) -> bool:
+        """Whether what differs leaves the license's name and version as they are."""
+        differ = {*missing, *added}
+        if differ & NAMING or NAMING_HERE.intersection(missing):
+            return False
+        return not (self.versioned[template] and any(VERSION.fullmatch(w) for w in differ))
+
     def ranked(self, block: list[str]) -> list[tuple[float, int]]:
         """Templates by how many bytes shorter the block gets with them at hand, as shares of their sizes.
 
@@ -160,9 +242,9 @@ class Matcher:
         while parts:
             at, part = parts.pop()
             best = None
-            for cut, i in self.ranked(part) if len(part) > 1 and TRIGGER.search(" ".join(part)) else []:
+            for cut, i in self.ranked(part) if any(True for _ in self.marked(part)) else []:
                 share, *place = self.wording(self.templates[i][1], part)
-                if share >= MIN_WORDING and (best is None or share > best[2]):
+                if share >= MIN_WORDING and (best is None or share > best[2]) and self.is_named(i, *place[2:]):
                     best = (self.templates[i][0], cut, share, *place)
             if best:
                 name, cut, share, first, last, missing, added = best
@@ -175,24 +257,33 @@ class Matcher:
         return [row for _, _, row in sorted(taken, key=lambda x: x[0])]
 
 
-def blocks_of(text: str, reach: int) -> Iterator[tuple[list[str], list[int]]]:
-    """Words and each word's line of the candidate blocks of a text: ``reach`` words on either side of
-    every trigger, however the text is wrapped."""
+def pieces_of(template: list[str]) -> list[list[str]]:
+    """The template cut into more pieces than a notice of MIN_WORDING can break, so that one is whole.
+
+    Of n words m may be missing, and as many added as keep the share: each breaks one piece at most.
+    """
+    n = len(template)
+    most = max(m + int((n - m) * (1 / MIN_WORDING - 1) + 1e-9) for m in range(int(n * (1 - MIN_WORDING) + 1e-9) + 1))
+    cuts = [round(i * n / (most + 1)) for i in range(most + 2)]
+    return [template[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def blocks_of(text: str, matcher: Matcher) -> Iterator[tuple[list[str], list[int]]]:
+    """Words and each word's line of the candidate blocks of a text: as many words as a notice can have on
+    either side of every mark, however the text is wrapped."""
     words, places = [], []
     for i, line in enumerate(text.split("\n")):
         found = words_of(line)
         words += found
         places += [i] * len(found)
-    ends = list(accumulate(len(w) + 1 for w in words))
     begin = end = 0
-    for hit in TRIGGER.finditer(" ".join(words)):
-        first, last = bisect_right(ends, hit.start()), bisect_right(ends, hit.end() - 1)
-        if end and first - reach > end:
+    for first, last in matcher.marked(words):
+        if end and first - matcher.longest > end:
             yield words[begin:end], places[begin:end]
             end = 0
         if not end:
-            begin = max(0, first - reach)
-        end = min(len(words), last + 1 + reach)
+            begin = max(0, first - matcher.longest)
+        end = min(len(words), max(end, last + matcher.longest))
     if end:
         yield words[begin:end], places[begin:end]
 
@@ -201,15 +292,17 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     """One row for each notice found: id, ``license``, ``line`` (from 0), ``reduction``, ``wording``,
     and the words ``missing`` and ``added`` against the template.
 
-    Trigger words with as many words on either side as a notice can have are candidate blocks, whatever
+    Every template is cut into so many pieces that a notice near enough to it holds one of them word for
+    word; such marks with as many words on either side as a notice can have are candidate blocks, whatever
     lines they stand in. A block is compressed alone and with each template as a raw zstandard dictionary; templates are ranked by
     how much shorter that makes it (``reduction`` is that as a share of the template's own compressed
     size), and of those it shortens enough for the one with the nearest wording wins, if at least 0.85 of its words
-    stand there in order and make up as much of that place. What stands before and behind a notice is
+    stand there in order and make up as much of that place. One that differs in a word that names the license,
+    or in its version, states another one and is not reported under this name. What stands before and behind a notice is
     searched on. Blocks over twice the longest template are searched in
     overlapping parts, so texts are read whole. Equal blocks are searched once in a task.
 
-    Defined results: NULL and empty texts, and texts without a trigger, have no rows; repeated rows
+    Defined results: NULL and empty texts, and texts without a mark, have no rows; repeated rows
     have their findings each; a NULL id passes; an empty table gives no rows.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -220,10 +313,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
         for batch in pieces(batches, 1, PIECE):
             rows: list[list] = [[] for _ in range(7)]
             for row, text in enumerate(batch.column(1).cast(pa.large_binary()).to_pylist()):
-                lower = (text or b"").lower()
-                if not RAW_TRIGGER.search(lower):
-                    continue
-                for words, places in blocks_of(text.decode(), matcher.longest):
+                for words, places in blocks_of((text or b"").decode(), matcher):
                     key = " ".join(words)
                     if key not in memo:
                         make_room(memo, 1, MEMO_ROWS)
