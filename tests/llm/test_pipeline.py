@@ -52,7 +52,7 @@ def test_stages(spark, sf_dir, con):
                 hosts[r.source] = hosts.get(r.source, 0) + 1
                 for line in set(r.text.split("\n")):
                     pages[r.source, line] = pages.get((r.source, line), 0) + 1
-            bad = {k for k, n in pages.items() if n >= lines.MIN_PAGES and n > lines.MAX_RATIO * hosts[k[0]] and k[1].strip(" ")}
+            bad = {k for k, n in pages.items() if n >= lines.MIN_PAGES and n > lines.MAX_RATIO * hosts[k[0]] and k[1].strip(" \t\n\v\f\r")}
             for i, r in after.items():
                 assert r.text == "\n".join(x for x in before[i].text.split("\n") if (r.source, x) not in bad)
                 assert r.n_chars == len(r.text)

@@ -4,6 +4,7 @@ import hashlib
 
 import pytest
 from compare import duckdb_rows, spark_rows
+from pyspark.sql import functions as F
 
 from thermopolis.llm import decontaminate, lines, vectors, warc
 from thermopolis.llm.common import scratch
@@ -36,6 +37,24 @@ def test_a_line_counts_once_a_page(spark):
     assert rows == {1: ("", 3), 2: ("b", 0), 3: ("c", 1)}
 
 
+def test_white_space_lines_stay(spark):
+    docs = spark.createDataFrame([(i, f"a{i}\r\n\r\nb{i}\n\t\nsame\n \v\f", "h") for i in range(6)], "doc_id long, text string, source string")
+    rows = lines.drop_boilerplate(docs, 0.5, 2).collect()
+    assert {r.text for r in rows} == {f"a{i}\r\n\r\nb{i}\n\t\n \v\f" for i in range(6)}
+
+
+def test_names_of_the_operator_s_own_are_free(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "same\nx", "h") for i in range(6)], "doc_id long, text string, source string")
+    names = ["__host", "__lines", "host", "Lines", "n_lines", "N_DROPPED", "host_"]
+    docs = docs.select("*", *[F.lit("x").alias(n) for n in names])
+    for bound in (lines.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(lines, "BROADCAST_BYTES", bound)
+        found = lines.drop_boilerplate(docs, 0.5, 2)
+        assert found.columns == ["doc_id", "text", "source", "__host", "__lines", "host", "Lines", "host_", "n_lines", "n_dropped"]
+        assert {tuple(r)[1:] for r in found.collect()} == {("", "h", *"xxxxx", 2, 2)}
+    assert lines.drop_boilerplate(docs, 0.5, 2, counts=False).columns == docs.columns
+
+
 def test_warc_round_trip(spark):
     pages = [
         (3, "http://a.example/x", "<p>é\r\n\r\nWARC/1.1\r\nx</p>"),
@@ -154,3 +173,29 @@ def test_every_link_of_a_large_group_counts(spark):
     while (new := np.array([least[row].min() for row in near])).tolist() != least.tolist():
         least = new
     assert [got[i].component_id for i in range(len(x))] == least.tolist()
+
+
+def test_links_by_group_size_and_near_the_bound(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    pair = rng.standard_normal((500, 32))
+    parts = {
+        3000: rng.standard_normal(32) + 0.05 * rng.standard_normal((3000, 32)),
+        30: np.concatenate([c + 0.1 * rng.standard_normal((30, 32)) for c in rng.standard_normal((20, 32))]),
+        2: np.concatenate([pair, pair + 0.29 * rng.standard_normal(pair.shape)]),
+    }
+    x = np.concatenate(list(parts.values()))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    wanted = (u @ u.T >= 0.93).sum(axis=1) - 1
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").repartition(3)
+    rows = {r.vec_id: r.n_links for r in vectors.near_duplicates(frame).collect()}
+    got, at = np.array([rows[i] for i in range(len(x))]), 0
+    assert (got <= wanted).all()
+    for size, part in parts.items():
+        mine = slice(at, at + len(part))
+        assert got[mine].sum() >= (1.0 if size > 2 else 0.95) * wanted[mine].sum() > 0
+        at += len(part)
+    cosine = np.einsum("ij,ij->i", u[-1000:-500], u[-500:])
+    near = (cosine >= 0.93) & (cosine < 0.94)
+    assert near.sum() > 20 and (got[-1000:-500][near] > 0).mean() >= 0.9

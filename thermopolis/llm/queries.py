@@ -41,7 +41,7 @@ ORACLES["op2_line_dedup"] = f"""
 WITH pages AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
 totals AS (SELECT source, count(*) AS host_pages FROM pages GROUP BY source),
 distinct_lines AS (SELECT source, unnest(list_distinct(lines)) AS line FROM pages),
-counted AS (SELECT source, line, count(*) AS n FROM distinct_lines WHERE trim(line, ' ') <> '' GROUP BY source, line),
+counted AS (SELECT source, line, count(*) AS n FROM distinct_lines WHERE trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '' GROUP BY source, line),
 bad AS (
   SELECT source, list(line) AS bad_lines FROM counted JOIN totals USING (source)
   WHERE n >= {lines.MIN_PAGES} AND n > {lines.MAX_RATIO}::DOUBLE * host_pages GROUP BY source
@@ -92,8 +92,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Alone in its executors, unlike a stage of the pipeline, it may remember more.
-    return bpe.encode_decode(table(spark, sf_dir, "documents"), word_bpe(), full=False, memo_rows=500_000, word_memo_rows=500_000)
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), word_bpe(), full=False)
 
 
 @_query
