@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Rows go to Python in batches of so many bytes, a larger row alone.
+ARROW_BYTES = 8 << 20
 #: A long text is split into words by slices of so many bytes.
 SLICE = 1 << 20
 
@@ -73,6 +75,13 @@ def lean(step: Step) -> Step:
     return run
 
 
+def map_arrow(df: DataFrame, step: Step, schema) -> DataFrame:
+    """``df.mapInArrow(lean(step), schema)`` with batches of about ARROW_BYTES at most, bounded by Spark
+    before they reach Python. The session keeps that setting, which changes no result."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    return df.mapInArrow(lean(step), schema)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of one string column, a longer row alone."""
     for batch in batches:
@@ -98,6 +107,24 @@ def split_words(text: bytes) -> Iterator[list[bytes]]:
         at = end
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of some ``limit`` bytes of one string column: small batches together, large
+    ones in pieces."""
+    held, size = [], 0
+
+    def together() -> pa.RecordBatch:
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in pieces(batches, column, limit):
+        if held and size + batch.column(column).nbytes > limit:
+            yield together()
+            held, size = [], 0
+        held.append(batch)
+        size += batch.column(column).nbytes
+    if held:
+        yield together()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); component is the smallest node reached.
 

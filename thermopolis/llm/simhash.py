@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermopolis.llm.common import components, lean, materialize, pieces
+from thermopolis.llm.common import components, lean, map_arrow, materialize, pieces
 
 BITS = 64
 #: A bucket with more fingerprints is compared tile by tile, each pair of tiles in a group of its own.
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, shingle_words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["id", "print"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(lean(run), f"id {kind}, print long")
+    return map_arrow(docs, run, f"id {kind}, print long")
 
 
 def fingerprint(text: bytes, shingle_words: int) -> int:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermopolis.llm.common import lean, materialize, pieces
+from thermopolis.llm.common import map_arrow, materialize, pieces
 from thermopolis.llm.words import make_room
 
 #: The bounded sample of labelled rows: about so many documents, chosen by a hash of their id.
@@ -32,6 +32,10 @@ PRIOR = 0.5
 EVIDENCE = 3
 PIECE = 4 << 20
 MEMO_ROWS = 150_000
+#: Longer runs are not remembered.
+LONGEST_RUN = 64
+#: What the index remembers, by an estimate of its bytes.
+MEMO_BYTES = 32 << 20
 EVIDENCE_TYPE = "array<struct<example_id:long,cosine:double,toxic_share:double>>"
 
 WORD = re.compile(r"\w+")
@@ -56,12 +60,13 @@ class Vectorizer:
         new = set(runs).difference(memo)
         make_room(memo, len(new), MEMO_ROWS)
         for run in new:
-            memo[run] = tuple(number[t] for t in terms_of(run.decode()) if t in number)
+            if len(run) <= LONGEST_RUN:
+                memo[run] = tuple(number[t] for t in terms_of(run.decode()) if t in number)
         get = memo.get
         for run in runs:
             if hit := get(run):
                 found.update(hit)
-            elif hit is None:  # a text with more runs than the memo has room for
+            elif hit is None:  # a long run, or one of a text with more runs than the memo has room for
                 found.update(number[t] for t in terms_of(run.decode()) if t in number)
         return dict(sorted(found.items()))
 
@@ -107,6 +112,7 @@ class Index:
         self.part_end = np.append(self.part_at[1:], len(part))
         self.part_max = np.maximum.reduceat(self.weight, self.part_at) if len(part) else np.zeros(0)
         self.memo: dict[tuple, tuple[float, list]] = {}
+        self.memo_bytes = 0
 
     def nearest(self, found: dict[int, int], k: int) -> list[tuple[float, int]]:
         """The ``k`` examples of the largest cosine, exactly; of equal ones those that stand first."""
@@ -139,7 +145,6 @@ class Index:
             return (toxic + PRIOR * share) / (rows + PRIOR), []
         key = tuple(found.items())
         if key not in self.memo:
-            make_room(self.memo, 1)
             near = self.nearest(found, k)
             weight = np.array([c * c for c, _ in near])
             counts = self.counts[[e for _, e in near]].reshape(-1, 2)
@@ -148,7 +153,12 @@ class Index:
                 {"example_id": self.names[e], "cosine": c, "toxic_share": float(self.counts[e, 1] / self.counts[e, 0])}
                 for c, e in near[:EVIDENCE]
             ]
+            size = 1500 + 150 * len(key)
+            if self.memo_bytes + size > MEMO_BYTES:
+                self.memo.clear()
+                self.memo_bytes = 0
             self.memo[key] = (value, shown)
+            self.memo_bytes += size
         return self.memo[key]
 
 
@@ -168,7 +178,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
         .groupBy("text")
         .agg(F.min("doc_id").alias("name"), F.count(F.lit(1)).alias("rows"), F.sum("toxic").alias("toxic"))
     )
-    counts = materialize(examples.select("text", "rows", "toxic").mapInArrow(lean(_term_counts), "term string, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")))
+    counts = map_arrow(examples.select("text", "rows", "toxic"), _term_counts, "term string, n long, toxic long")
+    counts = materialize(counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")))
     total = counts.where("term = ''").select("n", "toxic").first()
     if total is None or not total.toxic:
         return [], Index([(None, {}, total.n if total else 0, 0)], np.zeros(0))
@@ -191,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
         seen[-1] = rows
         yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.int64()), pa.array(seen.values(), pa.int64())], ["term", "n"])
 
-    df = texts.select("text").mapInArrow(lean(frequencies), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    df = map_arrow(texts.select("text"), frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     df = {r.term: r.n for r in df.collect()}  # max_terms rows and one
     idf = np.array([math.log((1 + df[-1]) / (1 + df.get(i, 0))) + 1 for i in range(len(terms))])
 
@@ -203,7 +214,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays, batch.column(2), batch.column(3)], ["name", "terms", "times", "rows", "toxic"])
 
     schema = "name long, terms array<long>, times array<long>, rows long, toxic long"
-    rows = examples.select(F.col("name").cast("long"), "text", "rows", F.col("toxic").cast("long")).mapInArrow(vectors, schema).collect()
+    rows = examples.select(F.col("name").cast("long"), "text", "rows", F.col("toxic").cast("long"))
+    rows = map_arrow(rows, vectors, schema).collect()
     return terms, Index([(r.name, dict(zip(r.terms, r.times, strict=True)), r.rows, r.toxic) for r in rows], idf)
 
 
@@ -258,7 +270,7 @@ def score(
                 ["doc_id", "score", "predicted", "evidence"],
             )
 
-    scored = docs.mapInArrow(lean(run), f"doc_id {kind}, score double, predicted int, evidence {EVIDENCE_TYPE}")
+    scored = map_arrow(docs, run, f"doc_id {kind}, score double, predicted int, evidence {EVIDENCE_TYPE}")
     return scored.withColumnRenamed("doc_id", id_col)
 
 
@@ -282,7 +294,7 @@ def reject(
             texts = batch.column(column).cast(pa.large_binary()).to_pylist()
             yield batch.filter(pa.array([index.score(vector(x), neighbours)[0] < 0.5 for x in texts]))
 
-    return docs.mapInArrow(lean(run), docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 EVIDENCE_ARROW = pa.list_(pa.struct([("example_id", pa.int64()), ("cosine", pa.float64()), ("toxic_share", pa.float64())]))
