@@ -4,10 +4,13 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from thermopolis.llm import bpe, licenses, suffixes, tokens, toxicity
+from thermopolis.llm.common import gathered
 from thermopolis.llm.queries import QUERIES, held_out, table, word_bpe
+from thermopolis.llm.words import BatchMerger, Merger, runs_in, runs_of
 
 
 @pytest.fixture(scope="module")
@@ -263,3 +266,94 @@ def test_every_template_that_shortens_enough_is_tried():
     block = [w for _, words in matcher.templates for w in words]
     assert {i for _, i in matcher.ranked(block)} >= {i for i, (_, words) in enumerate(matcher.templates) if len(words) > 30}
     assert len(matcher.ranked(block)) > 6
+
+
+def test_batches_of_words_are_merged_as_one_by_one():
+    rng = random.Random(6)
+    parts = ["th", "er", "é", "ñ", "x", "q", "1", "!", "tion", "a", "b", "中"]
+    words = list({"".join(rng.choice(parts) for _ in range(rng.randrange(1, 30))) for _ in range(2000)}) + ["x" * 500, "ab" * 300]
+    one, many = Merger(word_bpe()), BatchMerger(word_bpe())
+    wanted = [one(w) for w in words]
+    assert many.all(words) == wanted and [many.one(w.encode()) for w in words] == wanted
+    look_up = bpe.Transducer(bpe.compile_words((w.encode(), x) for w, x in zip(words[::2], wanted[::2], strict=True)))
+    assert look_up.all(words) == [look_up(w.encode()) for w in words]
+    assert bpe.Transducer(bpe.compile_words([])).all(["a", ""]) == [None, None]
+
+
+def test_runs_of_a_batch_are_those_of_each_text():
+    texts = [None, "", " a B\tb ", "<|endoftext|> A b", "x\x1cY\x0bz\r\n", "É Ä \x85"]
+    ends, places, runs = runs_in(pa.array(["cut off", *texts], pa.string()).slice(1))
+    found = [[runs[p] for p in places[a:b] if runs[p]] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    assert found == [runs_of(t.encode() if t else t) for t in texts]
+
+
+def test_tokens_do_not_depend_on_what_is_encoded_together(spark, odd, documents, monkeypatch):
+    frame = spark.createDataFrame(list(documents.items())[:60], "doc_id long, text string").unionByName(odd.select("doc_id", "text"))
+    found = []
+    for size in (100, bpe.PIECE):
+        monkeypatch.setattr(bpe, "PIECE", size)
+        found.append(sorted(map(tuple, bpe.encode_decode(frame, word_bpe(), full=False).collect()), key=str))
+    assert found[0] == found[1]
+
+
+def test_small_batches_are_gathered_and_large_ones_cut():
+    sizes = [3, 50, 1, 1, 120, 7, 0, 40, 40, 40]
+    batches = [pa.RecordBatch.from_pydict({"x": ["a" * n], "i": [i]}) for i, n in enumerate(sizes)]
+    batches.append(pa.RecordBatch.from_pydict({"x": ["b" * 60] * 4, "i": [10, 11, 12, 13]}))
+    found = list(gathered(iter(batches), 0, 100))
+    assert [i for b in found for i in b.column(1).to_pylist()] == list(range(14)) and 4 <= len(found) < 10
+    assert all(b.column(0).nbytes <= 130 for b in found)
+
+
+def test_a_name_or_version_decides(spark):
+    lgpl = dict(licenses.TEMPLATES[::-1])  # the first of each name
+    agpl = next(t for n, t in licenses.TEMPLATES if n == "AGPL-3.0" and len(t) > 100)
+    cases = [
+        ("GNU General Public License, version 2.", set()),
+        ("This work is licensed under the GNU General Public License, version 2.", {"GPL-2.0"}),
+        ("This work is licensed under the GNU General Public License, version 4.", set()),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", {"AGPL-3.0"}),
+        (agpl, {"AGPL-3.0"}),
+        (next(t for n, t in licenses.TEMPLATES if n == "LGPL-2.1" and len(t) > 100), {"LGPL-2.1"}),
+        ("Licensed under the Apache License, Version 1.1.", {"Apache-1.1"}),
+        ("Licensed under the Apache License, Version 3.0.", set()),
+        ("To the extent possible under law, the author has waived all copy rights and related rights to this work.", {"CC0-1.0"}),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", {"CC-BY-SA-4.0"}),
+        ("Licensed under CC BY-NC-SA 4.0.", set()),
+        (lgpl["MIT"].replace("MIT", "ISC"), set()),
+    ]
+    docs = spark.createDataFrame([(i, f"some words before\n{t}\nand behind") for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    found = {i: set() for i in range(len(cases))}
+    for r in licenses.scan_licenses(docs).collect():
+        found[r.doc_id].add(r.license)
+    assert found == {i: names for i, (_, names) in enumerate(cases)}
+
+
+def test_no_altered_notice_is_lost_to_the_search_for_candidates(spark):
+    """Every template with each of its words altered, against the wording of all templates on the whole text."""
+    matcher, rng = licenses.Matcher(licenses.TEMPLATES), random.Random(4)
+    docs = []
+    for _, words in matcher.templates:
+        docs += [words[:i] + ["altered"] + words[i + 1 :] for i in range(len(words))]
+        for _ in range(10):
+            # Spread out changes, some beyond the bound.
+            words_now = list(words)
+            for _ in range(rng.randrange(1, 2 + len(words) // 5)):
+                at = rng.randrange(len(words_now))
+                words_now[at : at + 1] = rng.choice([[], ["altered"], [words_now[at], "added"]])
+                words_now = words_now or ["none"]
+            docs.append(words_now)
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string").repartition(8)
+    found = {}
+    for r in licenses.scan_licenses(frame).collect():
+        found.setdefault(r.doc_id, set()).add(r.license)
+    n_found = 0
+    for i, words in enumerate(docs):
+        near = {}
+        for t, (name, template) in enumerate(matcher.templates):
+            share, _, _, missing, added = matcher.wording(template, words)
+            if share >= licenses.MIN_WORDING and matcher.is_named(t, missing, added):
+                near[name] = max(share, near.get(name, 0))
+        assert found.get(i, set()) <= set(near) and bool(found.get(i)) == bool(near), (words, found.get(i), near)
+        n_found += bool(near)
+    assert len(docs) / 2 < n_found < len(docs)

@@ -9,14 +9,16 @@ from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermopolis.llm.common import lean, materialize, pieces, put_file, scratch
+from thermopolis.llm.common import gathered, map_arrow, materialize, put_file, scratch
 from thermopolis.llm.tokens import load
-from thermopolis.llm.words import MEMO_ROWS, Merger, make_room, runs_of, splitter, worker_memo
+from thermopolis.llm.words import BatchMerger, runs_in, splitter
 
 #: Words in the transducer, the most frequent of the corpus.
 LEXICON_WORDS = 200_000
@@ -24,8 +26,10 @@ LEXICON_WORDS = 200_000
 LEXICON_COUNT = 3
 #: Longer words are left to the merges, which bounds the transducer's size.
 LEXICON_BYTES = 64
-PIECE = 4 << 20
-WORD_MEMO_ROWS = 150_000
+#: Text whose different runs are counted or encoded together, in bytes; a longer one alone.
+PIECE = 24 << 20
+#: Rows whose tokens are joined together.
+ROWS = 500
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -36,26 +40,16 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter()
-        seen: Counter[bytes] = Counter()
-
-        def flush() -> pa.RecordBatch:
+        for batch in gathered(batches, 0, PIECE):
+            _, places, runs = runs_in(batch.column(0))
             words: Counter[str] = Counter()
-            for run, n in seen.items():
+            for run, n in zip(runs, np.bincount(places, minlength=len(runs)).tolist(), strict=True):
                 for word in split(run.decode()) or ():
                     if len(word) <= LEXICON_BYTES:
                         words[word] += n
-            seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], ["word", "n"])
-
-        for batch in pieces(batches, 0, PIECE):
-            for text in batch.column(0).cast(pa.large_binary()).to_pylist():
-                seen.update(runs_of(text))
-            if len(seen) > MEMO_ROWS:
-                yield flush()
-        if seen:
-            yield flush()
-
-    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(lean(run), "word string, n long")
+            yield pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], ["word", "n"])
+
+    counted = map_arrow(docs.select(F.col(text_col).alias("text")), run, "word string, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -92,6 +86,36 @@ class Transducer:
         return self.ids[self.begin[place] : self.begin[place + 1]].tolist()
 
 
+    def all(self, words: list[str]) -> list[list[int] | None]:
+        """The ids of each word, all words of one length taking a step at a time."""
+        first, target, number = (np.frombuffer(x, np.int32) for x in (self.first, self.target, self.number))
+        labels = np.frombuffer(self.data, np.uint8, len(target), self.label_at)
+        final = np.frombuffer(self.data, np.uint8, len(first) - 1, self.final_at)
+        keys = np.repeat(np.arange(len(first) - 1, dtype=np.int64), np.diff(first)) << 8 | labels
+        out: list[list[int] | None] = [None] * len(words)
+        by_length: dict[int, list[int]] = {}
+        coded = [w.encode() for w in words]
+        for i, word in enumerate(coded):
+            by_length.setdefault(len(word), []).append(i)
+        for length, places in by_length.items():
+            if not len(keys):
+                continue
+            letters = np.frombuffer(b"".join([coded[i] for i in places]), np.uint8).reshape(len(places), length)
+            rows, state, place = np.array(places), np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+            for step in range(length):
+                want = state << 8 | letters[:, step]
+                at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+                held = keys[at] == want
+                rows, letters, at = rows[held], letters[held], at[held]
+                place, state = place[held] + number[at], target[at].astype(np.int64)
+                if not len(rows):
+                    break
+            ends = final[state] > 0
+            for i, p in zip(rows[ends].tolist(), place[ends].tolist(), strict=True):
+                out[i] = self.ids[self.begin[p] : self.begin[p + 1]].tolist()
+        return out
+
+
 def compile_words(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
     """The transducer file of (word, ids), built word by word in sorted order.
 
@@ -149,7 +173,7 @@ def lexicon(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS, text_co
     The least count that enters comes from a histogram of the counts, in steps of an eighth of a
     doubling, so the driver gets the lexicon and a few hundred numbers and no task sorts words.
     """
-    merge = Merger(tokenizer)
+    merge = BatchMerger(tokenizer)
     counts = materialize(word_counts(docs, text_col).where(F.col("n") >= LEXICON_COUNT))
     band = F.floor(F.log2("n") * 8)
     left, least = words, None
@@ -160,8 +184,8 @@ def lexicon(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS, text_co
         least = r.band
     if least is None:
         return compile_words([])
-    most = counts.where(band >= least).select("word").collect()
-    return compile_words((r.word.encode(), merge(r.word)) for r in most)
+    most = [r.word for r in counts.where(band >= least).select("word").collect()]
+    return compile_words((word.encode(), ids) for word, ids in zip(most, merge.all(most), strict=True))
 
 
 def encode_decode(
@@ -171,8 +195,6 @@ def encode_decode(
     id_col: str = "doc_id",
     text_col: str = "text",
     full: bool = True,
-    memo_rows: int = MEMO_ROWS,
-    word_memo_rows: int = WORD_MEMO_ROWS,
 ) -> DataFrame:
     """The id, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of every row; with ``full`` also
     ``ids`` (array<int>) and ``decoded``.
@@ -180,8 +202,8 @@ def encode_decode(
     Each executor fetches the compiled lexicon as a file and maps it into memory. A word it lacks is
     merged exactly; runs with other characters than Latin ones, and those that may hold a special
     token, go through the library, whose tables for case and normal form they need. Decoding joins the
-    tokens with spaces, as the library does for a file without a decoder. A worker remembers up to
-    ``memo_rows`` runs and ``word_memo_rows`` words, some 300 bytes each; they change the time alone.
+    tokens with spaces, as the library does for a file without a decoder. The different runs of some
+    PIECE bytes of text are encoded once and taken by all rows that have them; nothing is kept beyond.
 
     Defined results: NULL and empty texts have no ids and decode to an empty text; repeated rows come
     out once each; a NULL id passes; an empty table gives no rows.
@@ -194,50 +216,67 @@ def encode_decode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with open(SparkFiles.get(name), "rb") as file:
             look_up = Transducer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
-        merge, library, split = Merger(tokenizer), load(tokenizer), splitter()
-        tokens = {i: t for t, i in library.get_vocab(with_added_tokens=True).items()}
-        memo = worker_memo(f"ids {tokenizer}")
-        word_memo = worker_memo(f"words {tokenizer}")
-
-        def word_ids(word: str) -> list[int]:
-            ids = word_memo.get(word)
-            if ids is None:
-                ids = look_up(word.encode())
-                if ids is None:
-                    ids = merge(word)
-                word_memo[word] = ids
-            return ids
-
-        def learn(runs: set[bytes]) -> None:
-            make_room(memo, len(runs), memo_rows)
-            make_room(word_memo, len(runs), word_memo_rows)
-            for run in runs:
-                if run not in memo:
-                    text = run.decode()
-                    parts = split(text)
-                    if parts is None:
-                        ids = library.encode(text, add_special_tokens=False).ids
-                    else:
-                        ids = [i for word in parts for i in word_ids(word)]
-                    memo[run] = (" ".join(map(str, ids)).encode(), " ".join([tokens[i] for i in ids]).encode())
-
-        for batch in pieces(batches, 1, PIECE):
-            runs = [runs_of(x) for x in batch.column(1).cast(pa.large_binary()).to_pylist()]
-            learn({w for ws in runs for w in ws})
-            out: list[list] = [[] for _ in range(5 if full else 3)]
-            for ws in runs:
-                found = [x for w in ws if (x := memo[w])[0]]
-                ids, decoded = b" ".join([x[0] for x in found]), b" ".join([x[1] for x in found])
-                row = [ids.count(b" ") + bool(ids), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()]
-                row += [list(map(int, ids.split())), decoded.decode()] if full else []
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-            kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()]
-            arrays = [pa.array(x, t) for x, t in zip(out, kinds, strict=False)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], NAMES[: len(arrays) + 1])
+        merge, library, split = BatchMerger(tokenizer), load(tokenizer), splitter()
+        vocabulary = library.get_vocab(with_added_tokens=True)
+        tokens, numbers = {i: t.encode() for t, i in vocabulary.items()}, {i: b"%d" % i for i in vocabulary.values()}
+
+        def entry(ids: list[int]) -> tuple[int, bytes, bytes]:
+            return len(ids), b" ".join([numbers[i] for i in ids]), b" ".join([tokens[i] for i in ids])
+
+        def encode_words(words: list[str]) -> dict[str, tuple[int, bytes, bytes]]:
+            """The entry of each word out of the transducer or, if it lacks it, by merges."""
+            ids = look_up.all(words)
+            unseen = [i for i, x in enumerate(ids) if x is None]
+            for i, merged in zip(unseen, merge.all([words[i] for i in unseen]), strict=True):
+                ids[i] = merged
+            return {w: entry(x) for w, x in zip(words, ids, strict=True)}
+
+        def encode_runs(runs: list[bytes]) -> list[tuple[int, bytes, bytes]]:
+            texts = [run.decode() for run in runs]
+            parts = [split(x) if x else [] for x in texts]
+            words = encode_words(list({w for ws in parts if ws for w in ws}))
+            entries = []
+            for text, ws in zip(texts, parts, strict=True):
+                if ws is None:
+                    entries.append(entry(library.encode(text, add_special_tokens=False).ids))
+                elif len(ws) == 1:
+                    entries.append(words[ws[0]])
+                else:
+                    held = [words[w] for w in ws]
+                    entries.append((sum(x[0] for x in held), b" ".join([x[1] for x in held]), b" ".join([x[2] for x in held])))
+            return entries
+
+        def taken(part: pa.Array, places: np.ndarray, ends: np.ndarray) -> list[bytes]:
+            """The entries at ``places``, those up to each of ``ends`` joined by spaces."""
+            lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), part.take(pa.array(places)))
+            return pc.binary_join(lists, SPACE).to_pylist()
+
+        for batch in gathered(batches, 1, PIECE):
+            ends, places, runs = runs_in(batch.column(1))
+            entries = encode_runs(runs)
+            sizes = np.array([x[0] for x in entries], np.int64)[places]
+            parts = [pa.array([x[i] for x in entries], pa.large_binary()) for i in (1, 2)]
+            del runs, entries
+            # Runs without any token leave no space either.
+            some = sizes > 0
+            ends = np.concatenate(([0], np.cumsum(some)))[ends]
+            places, sizes = places[some], np.concatenate(([0], np.cumsum(sizes[some])))
+            for at in range(0, batch.num_rows, ROWS):
+                mine = ends[at : min(at + ROWS, batch.num_rows) + 1]
+                joined = [taken(part, places[mine[0] : mine[-1]], mine - mine[0]) for part in parts]
+                yield rows_of(batch.column(0).slice(at, ROWS), sizes[mine[1:]] - sizes[mine[:-1]], joined)
+
+    def rows_of(ids: pa.Array, sizes: np.ndarray, joined: list[list[bytes]]) -> pa.RecordBatch:
+        out = [sizes, *[[hashlib.sha256(x).hexdigest() for x in rows] for rows in joined]]
+        if full:
+            out += [[list(map(int, x.split())) for x in joined[0]], [x.decode() for x in joined[1]]]
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()]
+        arrays = [pa.array(x, t) for x, t in zip(out, kinds, strict=False)]
+        return pa.RecordBatch.from_arrays([ids, *arrays], NAMES[: len(arrays) + 1])
 
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * full
-    return docs.mapInArrow(lean(run), schema).withColumnRenamed("id", id_col)
+    return map_arrow(docs, run, schema).withColumnRenamed("id", id_col)
 
 
+SPACE = pa.scalar(b" ", pa.large_binary())
 NAMES = ["id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]

@@ -5,11 +5,15 @@ White space never is part of a token there, so the runs between it are encoded e
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import sys
 import types
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: Fixed value: the tokenizer file's own split pattern.
@@ -43,11 +47,30 @@ def splitter():
     find = regex.compile(PATTERN).findall
 
     def words(run: str) -> list[str] | None:
-        return None if SPECIAL in run or not PLAIN.fullmatch(run) else find(run.lower())
+        if SPECIAL in run or not PLAIN.fullmatch(run):
+            return None
+        run = run.lower()
+        # Letters alone are one word, with a single other sign behind them two.
+        if run.isalpha():
+            return [run]
+        if run[:-1].isalpha() and not run[-1].isalnum():
+            return [run[:-1], run[-1]]
+        return find(run)
 
     return words
 
 
+def runs_in(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The runs between ASCII white space of all texts, as ``runs_of`` has them: where each text's runs
+    end, each run's place among the different ones, and those. The empty run may be among them."""
+    texts = pc.fill_null(texts, "")
+    special = pc.match_substring(texts, SPECIAL)
+    lists = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
+    coded = lists.flatten().dictionary_encode()
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    return ends - ends[0], coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.cast(pa.binary()).to_pylist()
+
+
 class Merger:
     """The merges of a tokenizer file, applied to one word exactly as its library does."""
 
@@ -77,3 +100,91 @@ class Merger:
             if at < len(ranks):
                 ranks[at] = rank((parts[at], parts[at + 1]), none)
         return [self.ids[part] for part in parts]
+
+
+class BatchMerger(Merger):
+    """The same merges for many words at once: words of one length are rows of a matrix, and each step
+    merges every row's first pair of the least rank."""
+
+    #: Longer words are merged one by one, through a queue of their pairs.
+    LONGEST = 40
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        ids = self.ids
+        pairs = np.array([(ids[a], ids[b], r, ids[a + b]) for (a, b), r in self.rank.items()], np.int64).reshape(-1, 4)
+        keys = pairs[:, 0] << 32 | pairs[:, 1]
+        order = np.argsort(keys)
+        self.keys, self.ranks, self.made = keys[order], pairs[order, 2], pairs[order, 3]
+        self.by_pair: dict[int, tuple[int, int]] | None = None
+        self.inner = np.array([ids[self.letters[b]] for b in range(256)], np.int64)
+        self.last = np.array([ids[self.letters[b] + self.end] for b in range(256)], np.int64)
+
+    def _pairs(self, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and place of each pair of neighbours; pairs that do not merge have the rank of none."""
+        want = signs[:, :-1] << 32 | signs[:, 1:]
+        at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
+        return np.where(self.keys[at] == want, self.ranks[at], len(self.rank)), at
+
+    def one(self, word: bytes) -> list[int]:
+        """The ids of a word of any length: its pairs by rank, then place, those that are gone skipped."""
+        if self.by_pair is None:
+            self.by_pair = dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.made.tolist(), strict=True), strict=True))
+        signs = [*self.inner[list(word[:-1])].tolist(), int(self.last[word[-1]])]
+        after, before, queue = list(range(1, len(signs) + 1)), list(range(-1, len(signs) - 1)), []
+
+        def offer(at: int) -> None:
+            if at >= 0 and after[at] < len(signs):
+                key = signs[at] << 32 | signs[after[at]]
+                if hit := self.by_pair.get(key):
+                    heapq.heappush(queue, (hit[0], at, key, hit[1]))
+
+        for at in range(len(signs)):
+            offer(at)
+        while queue:
+            _, at, key, made = heapq.heappop(queue)
+            right = after[at]
+            if signs[at] < 0 or right >= len(signs) or signs[at] << 32 | signs[right] != key:
+                continue
+            signs[at], signs[right] = made, -1
+            after[at] = after[right]
+            if after[at] < len(signs):
+                before[after[at]] = at
+            offer(before[at])
+            offer(at)
+        return [x for x in signs if x >= 0]
+
+    def all(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word."""
+        out: list[list[int]] = [[] for _ in words]
+        by_length: dict[int, list[int]] = {}
+        coded = [w.encode() for w in words]
+        for i, word in enumerate(coded):
+            by_length.setdefault(len(word), []).append(i)
+        for length, places in by_length.items():
+            if length > self.LONGEST or not len(self.keys):
+                for i in places:
+                    out[i] = self.one(coded[i])
+                continue
+            letters = np.frombuffer(b"".join([coded[i] for i in places]), np.uint8).reshape(len(places), length)
+            signs = np.concatenate((self.inner[letters[:, :-1]], self.last[letters[:, -1:]]), axis=1)
+            rows = np.array(places)
+            while len(rows):
+                if signs.shape[1] == 1:
+                    done = np.ones(len(rows), bool)
+                else:
+                    ranks, at = self._pairs(signs)
+                    first = ranks.argmin(axis=1)
+                    here = np.arange(len(rows))
+                    done = ranks[here, first] == len(self.rank)
+                for i, found in zip(rows[done].tolist(), signs[done].tolist(), strict=True):
+                    out[i] = found
+                if done.all():
+                    break
+                left, rows = signs[~done], rows[~done]
+                first, at = first[~done], at[~done]
+                here = np.arange(len(rows))
+                left[here, first] = self.made[at[here, first]]
+                columns = np.arange(left.shape[1] - 1)
+                signs = np.take_along_axis(left, columns + (columns > first[:, None]), axis=1)
+        return out
