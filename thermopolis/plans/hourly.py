@@ -48,7 +48,7 @@ def run(
             rows = daystate.read(spark, state, draft.tables, daystate.DAYS, daystate.DAILY)
             if whole:
                 counts["rows"] = sinks.write_trusted(trusted(rows, info), output, fmt, static=True)
-                counts["years"] = -1
+                counts["years"] = len(versions.latest(spark, output).tables[sinks.TRUSTED])
             else:
                 old = daystate.read(spark, state, {daystate.DAYS: before}, daystate.DAYS, daystate.DAILY, days)
                 new = daystate.read(spark, state, draft.tables, daystate.DAYS, daystate.DAILY, days)
