@@ -27,7 +27,9 @@ LEXICON_COUNT = 3
 #: Longer words are left to the merges, which bounds the transducer's size.
 LEXICON_BYTES = 64
 #: Text whose different runs are counted or encoded together, in bytes; a longer one alone.
-PIECE = 24 << 20
+PIECE = 12 << 20
+#: Runs that are split into words together.
+RUNS = 50_000
 #: Rows whose tokens are joined together.
 ROWS = 500
 
@@ -231,20 +233,22 @@ def encode_decode(
                 ids[i] = merged
             return {w: entry(x) for w, x in zip(words, ids, strict=True)}
 
-        def encode_runs(runs: list[bytes]) -> list[tuple[int, bytes, bytes]]:
-            texts = [run.decode() for run in runs]
-            parts = [split(x) if x else [] for x in texts]
-            words = encode_words(list({w for ws in parts if ws for w in ws}))
-            entries = []
-            for text, ws in zip(texts, parts, strict=True):
-                if ws is None:
-                    entries.append(entry(library.encode(text, add_special_tokens=False).ids))
-                elif len(ws) == 1:
-                    entries.append(words[ws[0]])
-                else:
-                    held = [words[w] for w in ws]
-                    entries.append((sum(x[0] for x in held), b" ".join([x[1] for x in held]), b" ".join([x[2] for x in held])))
-            return entries
+        def encode_runs(runs: list[bytes]) -> tuple[list[int], list[bytes], list[bytes]]:
+            """Number of tokens, ids and decoded tokens of each run; a part of the runs at a time is split."""
+            known, found = {}, ([], [], [])
+            for at in range(0, len(runs), RUNS):
+                texts = [run.decode() for run in runs[at : at + RUNS]]
+                parts = [split(x) if x else [] for x in texts]
+                known |= encode_words(list({w for ws in parts if ws for w in ws if w not in known}))
+                for text, ws in zip(texts, parts, strict=True):
+                    if ws is None:
+                        held = [entry(library.encode(text, add_special_tokens=False).ids)]
+                    else:
+                        held = [known[w] for w in ws]
+                    one = held[0] if len(held) == 1 else (sum(x[0] for x in held), *[b" ".join([x[i] for x in held]) for i in (1, 2)])
+                    for column, value in zip(found, one, strict=True):
+                        column.append(value)
+            return found
 
         def taken(part: pa.Array, places: np.ndarray, ends: np.ndarray) -> list[bytes]:
             """The entries at ``places``, those up to each of ``ends`` joined by spaces."""
@@ -253,10 +257,9 @@ def encode_decode(
 
         for batch in gathered(batches, 1, PIECE):
             ends, places, runs = runs_in(batch.column(1))
-            entries = encode_runs(runs)
-            sizes = np.array([x[0] for x in entries], np.int64)[places]
-            parts = [pa.array([x[i] for x in entries], pa.large_binary()) for i in (1, 2)]
-            del runs, entries
+            sizes, *parts = encode_runs(runs)
+            sizes, parts = np.array(sizes, np.int64)[places], [pa.array(x, pa.large_binary()) for x in parts]
+            del runs
             # Runs without any token leave no space either.
             some = sizes > 0
             ends = np.concatenate(([0], np.cumsum(some)))[ends]
