@@ -124,6 +124,106 @@ def test_places_are_joined_by_a_shuffle_beyond_their_bound(spark, monkeypatch):
     assert sorted((r.page_id, r.text) for r in found.collect()) == sorted(slow_extract(pages))
 
 
+NOTE = "this site uses small files of its own and tells nobody about them"  # 13 words
+LIST = "<a href=/1>a title of eight words that others list twice</a>"
+
+
+def framed_pages():
+    """Host f.x: most pages hold NOTE where markup leaves it out; others have it without a telling name."""
+    pages = [(i, f"http://f.x/{i}", f"<article><h1>t{i}</h1><p>own{i} text</article><footer>{NOTE}</footer><nav>{LIST}</nav>") for i in range(6)]
+    pages += [
+        (10, "http://f.x/open", f"<div>o1 o2 o3</div><div class=x>{NOTE}</div>"),
+        (11, "http://f.x/in1", f"<article><p>p1 p2<p>{NOTE}</article>"),
+        (12, "http://f.x/in2", f"<main><p>q1 q2<div>{NOTE}</div></main>"),
+        # Both in the frame and in the text: the text's own.
+        (13, "http://f.x/both", f"<article><p>r1<p>{NOTE}</article><footer>{NOTE}</footer>"),
+        # Titles that other pages list, and half a note.
+        (14, "http://f.x/title", f"<div>{LIST}</div><p>s1"),
+        (15, "http://f.x/part", f"<article><p>{NOTE} {'u ' * 14}</article>"),
+        # The note is the frame of another host, too few pages of this one have it.
+        (20, "http://g.x/1", f"<footer>{NOTE}</footer><article>a</article>"),
+        (21, "http://g.x/2", f"<div>{NOTE}</div>"),
+        (22, "http://g.x/3", f"<article>c<p>{NOTE}</article>"),
+        (23, "http://g.x/4", "<article>d</article>"),
+        # One article alone announced by the frames of the others.
+        (30, "http://h.x/1", f"<aside>{NOTE}</aside><article>a</article>"),
+        (31, "http://h.x/2", f"<aside>{NOTE}</aside><article>b</article>"),
+        (32, "http://h.x/3", f"<article><h1>{NOTE}</h1><p>c</article>"),
+    ]
+    return pages + [(100 + i, url, page) for i, url, page in pages if i in (11, 32)]
+
+
+@pytest.mark.parametrize("shard_words", [extract.SHARD_WORDS, 30])
+@pytest.mark.parametrize("broadcast", [extract.BROADCAST_BYTES, 0])
+def test_the_frame_of_most_pages_goes_from_those_without_markup_for_it(spark, monkeypatch, shard_words, broadcast):
+    whole = extract.repeated
+    monkeypatch.setattr(extract, "repeated", lambda found: whole(found, shard_words))
+    monkeypatch.setattr(extract, "BROADCAST_BYTES", broadcast)
+    frame = spark.createDataFrame(framed_pages(), "page_id long, url string, html string").repartition(3)
+    rows = extract.extract_text(frame).collect()
+    texts = {r.page_id: r.text for r in rows}
+    assert len(rows) == len(texts) == len(framed_pages())
+    title = "a title of eight words that others list twice"
+    assert [texts[i] for i in range(6)] == [f"t{i}\nown{i} text" for i in range(6)]
+    assert {i: texts[i] for i in texts if i >= 10} == {
+        10: "o1 o2 o3", 11: "p1 p2", 111: "p1 p2", 12: "q1 q2", 13: f"r1\n{NOTE}", 14: f"{title}\ns1", 15: f"{NOTE} {'u ' * 14}".strip(),
+        20: "a", 21: NOTE, 22: f"c\n{NOTE}", 23: "d", 30: "a", 31: "b", 32: f"{NOTE}\nc", 132: f"{NOTE}\nc",
+    }
+
+
+def slow_frames(pages):
+    """The texts of ``pages`` without blocks of the host's frame; no page is open, no text on two pages."""
+    n, parsed, out = extract.BLOCK, [], []
+
+    def passages(words):
+        return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+    for page_id, url, page in pages:
+        blocks = [t for z, t in extract.blocks_of(page) if z == extract.ARTICLE]
+        outside = re.sub(r"<article>.*</article>", "<br>", page, flags=re.S)
+        frame = passages(re.sub(r"<[^>]*>", " ", outside).split())
+        parsed.append((page_id, extract.host_of(url), blocks, frame, passages(" ".join(blocks).split()) - frame))
+    for page_id, host, blocks, _, alone in parsed:
+        those = [p for p in parsed if p[1] == host]
+        against = {x for x in alone if 2 * sum(x in p[3] for p in those) > len(those) and sum(x in p[4] for p in those) > 1}
+        words = " ".join(blocks).split()
+        covered = [any(tuple(words[j : j + n]) in against for j in range(max(i - n + 1, 0), i + 1)) for i in range(len(words))]
+        kept, at = [], 0
+        for b in blocks:
+            size = len(b.split())
+            if 2 * sum(covered[at : at + size]) < size:
+                kept.append(b)
+            at += size
+        out.append((page_id, "\n".join(kept)))
+    return out
+
+
+@pytest.mark.parametrize("shard_words", [extract.SHARD_WORDS, 200])
+def test_frames_of_a_host_are_brute_force(spark, monkeypatch, shard_words):
+    whole = extract.repeated
+    monkeypatch.setattr(extract, "repeated", lambda found: whole(found, shard_words))
+    rng, pages = random.Random(9), []
+    notes = [" ".join(f"n{rng.randrange(4)}" for _ in range(12)) for _ in range(6)]
+    for i in range(120):
+        inside = rng.random() < 0.4
+        body = "".join(f"<p>{rng.choice(notes)} {'z ' * rng.randrange(16)}" if inside and rng.random() < 0.5 else f"<p>w{i} v{rng.randrange(50)}" for _ in range(4))
+        shown = [x for x in notes if rng.random() < (0.2 if inside else 0.8)]
+        page = f"<div class=notice>{' '.join(shown[:2])}</div><article>{body}<p>end{i}</article><div>{' '.join(shown[2:])}</div>"
+        pages.append((i, f"http://{rng.choice('aab')}.x/{i}", page))
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
+    want = slow_frames(pages)
+    assert sorted((r.page_id, r.text) for r in extract.extract_text(frame).collect()) == sorted(want)
+    whole_texts = ["\n".join(t for z, t in extract.blocks_of(p[2]) if z == extract.ARTICLE) for p in pages]
+    assert 5 < sum(text != all_of for (_, text), all_of in zip(want, whole_texts, strict=True)) < 100
+
+
+def test_an_article_stays_whole_beside_open_pages_with_its_text(spark):
+    text = " ".join(f"x{i}" for i in range(20))
+    rows = [(1, "http://h/1", f"<article><p>{text}</article>"), (2, "http://h/2", f"<p>{text}"), (3, "http://h/3", f"<p>{text}<p>more")]
+    found = extract.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in found.collect()} == {1: text, 2: "", 3: "more"}
+
+
 def test_edges(spark):
     from pyspark.sql import functions as F
 
