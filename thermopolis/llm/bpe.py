@@ -16,7 +16,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermopolis.llm.common import gathered, map_arrow, materialize, put_file, scratch
+from thermopolis.llm.common import gathered, give_back, map_arrow, materialize, put_file, scratch
 from thermopolis.llm.tokens import load
 from thermopolis.llm.words import BatchMerger, runs_in, splitter
 
@@ -220,66 +220,62 @@ def encode_decode(
             look_up = Transducer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
         merge, library, split = BatchMerger(tokenizer), load(tokenizer), splitter()
         vocabulary = library.get_vocab(with_added_tokens=True)
-        tokens, numbers = {i: t.encode() for t, i in vocabulary.items()}, {i: b"%d" % i for i in vocabulary.values()}
-
-        def entry(ids: list[int]) -> tuple[int, bytes, bytes]:
-            return len(ids), b" ".join([numbers[i] for i in ids]), b" ".join([tokens[i] for i in ids])
-
-        def encode_words(words: list[str]) -> dict[str, tuple[int, bytes, bytes]]:
-            """The entry of each word out of the transducer or, if it lacks it, by merges."""
+        by_id = {i: t.encode() for t, i in vocabulary.items()}
+        tokens = pa.array([by_id.get(i) for i in range(max(by_id) + 1)], pa.large_binary())
+        numbers = pa.array([b"%d" % i for i in range(len(tokens))], pa.large_binary())
+        del vocabulary, by_id
+
+        def encode_runs(runs: list[bytes]) -> pa.LargeListArray:
+            """The token ids of each run: those of its words out of the transducer or, if it lacks them, by merges."""
+            texts = [run.decode() for run in runs]
+            parts = [split(x) if x else [] for x in texts]
+            words = list({w for ws in parts if ws for w in ws})
             ids = look_up.all(words)
             unseen = [i for i, x in enumerate(ids) if x is None]
             for i, merged in zip(unseen, merge.all([words[i] for i in unseen]), strict=True):
                 ids[i] = merged
-            return {w: entry(x) for w, x in zip(words, ids, strict=True)}
-
-        def encode_runs(runs: list[bytes]) -> tuple[list[int], list[bytes], list[bytes]]:
-            """Number of tokens, ids and decoded tokens of each run; a part of the runs at a time is split."""
-            known, found = {}, ([], [], [])
-            for at in range(0, len(runs), RUNS):
-                texts = [run.decode() for run in runs[at : at + RUNS]]
-                parts = [split(x) if x else [] for x in texts]
-                known |= encode_words(list({w for ws in parts if ws for w in ws if w not in known}))
-                for text, ws in zip(texts, parts, strict=True):
-                    if ws is None:
-                        held = [entry(library.encode(text, add_special_tokens=False).ids)]
-                    else:
-                        held = [known[w] for w in ws]
-                    one = held[0] if len(held) == 1 else (sum(x[0] for x in held), *[b" ".join([x[i] for x in held]) for i in (1, 2)])
-                    for column, value in zip(found, one, strict=True):
-                        column.append(value)
-            return found
-
-        def taken(part: pa.Array, places: np.ndarray, ends: np.ndarray) -> list[bytes]:
-            """The entries at ``places``, those up to each of ``ends`` joined by spaces."""
-            lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), part.take(pa.array(places)))
-            return pc.binary_join(lists, SPACE).to_pylist()
+            place = {w: i for i, w in enumerate(words)}
+            places, ends = array("q"), array("q", [0])
+            for text, ws in zip(texts, parts, strict=True):
+                if ws is None:
+                    places.append(len(ids))
+                    ids.append(library.encode(text, add_special_tokens=False).ids)
+                else:
+                    places.extend([place[w] for w in ws])
+                ends.append(len(places))
+            return chained(pa.array(ids, pa.large_list(pa.int32())), np.array(places, np.int64), np.array(ends, np.int64))
 
         for batch in gathered(batches, 1, PIECE):
+            names = batch.column(0)
             ends, places, runs = runs_in(batch.column(1))
-            sizes, *parts = encode_runs(runs)
-            sizes, parts = np.array(sizes, np.int64)[places], [pa.array(x, pa.large_binary()) for x in parts]
+            del batch
+            ids = pa.concat_arrays([encode_runs(runs[at : at + RUNS]) for at in range(0, len(runs), RUNS)] or [NO_LISTS])
             del runs
-            # Runs without any token leave no space either.
-            some = sizes > 0
-            ends = np.concatenate(([0], np.cumsum(some)))[ends]
-            places, sizes = places[some], np.concatenate(([0], np.cumsum(sizes[some])))
-            for at in range(0, batch.num_rows, ROWS):
-                mine = ends[at : min(at + ROWS, batch.num_rows) + 1]
-                joined = [taken(part, places[mine[0] : mine[-1]], mine - mine[0]) for part in parts]
-                yield rows_of(batch.column(0).slice(at, ROWS), sizes[mine[1:]] - sizes[mine[:-1]], joined)
-
-    def rows_of(ids: pa.Array, sizes: np.ndarray, joined: list[list[bytes]]) -> pa.RecordBatch:
-        out = [sizes, *[[hashlib.sha256(x).hexdigest() for x in rows] for rows in joined]]
+            give_back()
+            for at in range(0, len(names), ROWS):
+                mine = ends[at : min(at + ROWS, len(names)) + 1]
+                yield rows_of(names.slice(at, ROWS), chained(ids, places[mine[0] : mine[-1]], mine - mine[0]), numbers, tokens)
+
+    def rows_of(names: pa.Array, ids: pa.LargeListArray, *spelt: pa.Array) -> pa.RecordBatch:
+        """Rows of token ids, their number, and the digests of both ways to spell them, joined by spaces."""
+        arrays = [names, pa.array(np.diff(ids.offsets), pa.int64())]
+        for spelling in spelt:
+            joined = pc.binary_join(pa.LargeListArray.from_arrays(ids.offsets, spelling.take(ids.values)), SPACE)
+            arrays.append(pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in joined], pa.string()))
         if full:
-            out += [[list(map(int, x.split())) for x in joined[0]], [x.decode() for x in joined[1]]]
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()]
-        arrays = [pa.array(x, t) for x, t in zip(out, kinds, strict=False)]
-        return pa.RecordBatch.from_arrays([ids, *arrays], NAMES[: len(arrays) + 1])
+            arrays += [ids.cast(pa.list_(pa.int32())), pa.array([x.as_py().decode() for x in joined], pa.string())]
+        return pa.RecordBatch.from_arrays(arrays, NAMES[: len(arrays)])
 
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * full
     return map_arrow(docs, run, schema).withColumnRenamed("id", id_col)
 
 
+def chained(lists: pa.LargeListArray, places: np.ndarray, ends: np.ndarray) -> pa.LargeListArray:
+    """The lists at ``places``, those up to each of ``ends`` as one."""
+    found = lists.take(pa.array(places))
+    return pa.LargeListArray.from_arrays(pa.array(found.offsets.to_numpy()[ends]), found.values)
+
+
+NO_LISTS = pa.array([], pa.large_list(pa.int32()))
 SPACE = pa.scalar(b" ", pa.large_binary())
 NAMES = ["id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]

@@ -68,6 +68,7 @@ def runs_in(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     lists = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
     coded = lists.flatten().dictionary_encode()
     ends = lists.offsets.to_numpy().astype(np.int64)
+    del lists
     return ends - ends[0], coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.cast(pa.binary()).to_pylist()
 
 
